@@ -334,30 +334,39 @@ def c05_ingredient_lists(t: DeliveryTables) -> DataFrame:
     """As written: one list per (order, pizza name); an extra of any item in the order doubles the
     ingredient for every item of the order, and each matching extra row repeats it.
 
-    Built from counts: items per (order, pizza), recipe entries per pizza, extra
-    rows per (order, topping). A group then holds one entry per recipe
-    ingredient with a repeat count, however many item rows it stands for.
+    Built from bounded pieces instead of exploding item x ingredient rows:
+    items are counted per (order, pizza); each pizza's recipe is one sorted
+    array (recipe-sized); each order's extras are one map topping -> rows
+    (at most one entry per topping). A row-wise ``transform`` then yields
+    ``(label, repeats)`` per ingredient, and the final group per (order, name)
+    only merges the rows of pizzas sharing that name.
     """
     co = t.customer_orders
     items = co.groupBy("order_id", "pizza_id").agg(F.count(F.lit(1)).alias("n_items"))
     ent = recipe_entries(t.pizza_recipes, t.pizza_toppings)
-    extra_rows = (co.filter(listed("extras"))
-                    .groupBy("order_id", "extras").agg(F.count(F.lit(1)).alias("__r"))
-                    .select("order_id", "__r", F.explode(F.split("extras", ",")).alias("__tok"))
-                    .groupBy("order_id", F.trim("__tok").try_cast("int").alias("topping_id"))
-                    .agg(F.sum("__r").alias("n_extra")))
-    j = (items.join(t.pizza_names.select("pizza_id", "pizza_name"), "pizza_id")
-              .join(ent, "pizza_id")
-              .join(extra_rows, ["order_id", "topping_id"], "left"))
-    label = F.when(F.col("n_extra").isNotNull(), F.concat(F.lit("2x"), F.col("topping_name"))) \
-             .otherwise(F.col("topping_name"))
-    reps = F.col("n_items") * F.coalesce(F.col("n_extra"), F.lit(1))
-    per_label = (j.groupBy("order_id", "pizza_name", "topping_name", label.alias("label"))
-                  .agg(F.sum(reps).alias("n")))
-    entries = F.array_sort(F.collect_list(F.struct(F.lower("topping_name").alias("k0"),
-                                                   F.col("topping_name").alias("k1"), "label", "n")))
-    return (per_label.groupBy("order_id", "pizza_name")
-            .agg(F.concat(F.col("pizza_name"), F.lit(": "), repeat_join(entries)).alias("ingredient_list"))
+    recipe = ent.groupBy("pizza_id").agg(F.collect_list(F.struct(
+        F.lower("topping_name").alias("k0"), F.col("topping_name").alias("k1"), F.col("topping_id").alias("id"))
+    ).alias("recipe"))
+    extras = (co.filter(listed("extras"))
+                .groupBy("order_id", "extras").agg(F.count(F.lit(1)).alias("__r"))
+                .select("order_id", "__r", F.explode(F.split("extras", ",")).alias("__tok"))
+                .select("order_id", "__r", F.trim("__tok").try_cast("int").alias("__id"))
+                .filter(F.col("__id").isNotNull())
+                .groupBy("order_id", "__id").agg(F.sum("__r").alias("__e"))
+                .groupBy("order_id").agg(F.map_from_entries(F.collect_list(F.struct("__id", "__e"))).alias("xmap")))
+    menu = t.pizza_names.select("pizza_id", "pizza_name").join(recipe, "pizza_id")  # pizza grain
+    j = items.join(menu, "pizza_id").join(extras, "order_id", "left")
+
+    def entry(x):
+        e = F.try_element_at(F.col("xmap"), x["id"])
+        label = F.when(e.isNotNull(), F.concat(F.lit("2x"), x["k1"])).otherwise(x["k1"])
+        return F.struct(x["k0"].alias("k0"), x["k1"].alias("k1"), label.alias("label"),
+                        (F.col("n_items") * F.coalesce(e, F.lit(1))).alias("n"))
+
+    per_row = j.select("order_id", "pizza_name", F.transform("recipe", entry).alias("entries"))
+    merged = F.array_sort(F.flatten(F.collect_list("entries")))
+    return (per_row.groupBy("order_id", "pizza_name")
+            .agg(F.concat(F.col("pizza_name"), F.lit(": "), repeat_join(merged)).alias("ingredient_list"))
             .select("order_id", "ingredient_list")
             .orderBy("order_id", "ingredient_list"))
 

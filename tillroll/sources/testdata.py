@@ -37,8 +37,20 @@ RUNNER_RATE_PER_KM = 0.30
 NEW_PIZZA_NAME = "Supreme"
 
 
+_SCANS: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The parquet table as a DataFrame, created once per session and path.
+
+    Like a catalog table: the file listing and footer schema are resolved
+    once; every query still scans the files (nothing is cached in memory).
+    """
+    key = (id(spark), f"{sf_dir}/{name}.parquet")
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SCANS[key] = spark.read.parquet(key[1])
+    return df
 
 
 # ---------------------------------------------------------------- loyalty
@@ -67,8 +79,31 @@ def members(spark, sf_dir) -> DataFrame:
               .agg(F.max("ts").cast("date").alias("join_date")))
 
 
+class _Lazy:
+    """Table bundle whose members are built on first access (a query only pays for what it reads)."""
+
+    _builders: dict = {}
+
+    def __init__(self, spark, sf_dir):
+        self._spark, self._dir, self._built = spark, sf_dir, {}
+
+    def __getattr__(self, name):
+        builders = type(self)._builders
+        if name not in builders:
+            raise AttributeError(name)
+        if name not in self._built:
+            self._built[name] = builders[name](self._spark, self._dir)
+        return self._built[name]
+
+
+class _LazyLoyalty(_Lazy):
+    _builders = {"sales": lambda s, d: sales(s, d), "menu": lambda s, d: menu(s, d),
+                 "members": lambda s, d: members(s, d)}
+
+
 def loyalty_tables(spark, sf_dir) -> LoyaltyTables:
-    return LoyaltyTables(sales(spark, sf_dir), menu(spark, sf_dir), members(spark, sf_dir))
+    """A :class:`LoyaltyTables`-shaped bundle over the testdata (members built lazily)."""
+    return _LazyLoyalty(spark, sf_dir)
 
 
 # --------------------------------------------------------------- delivery
@@ -154,15 +189,19 @@ def customer_ratings(spark, sf_dir) -> DataFrame:
         k, F.col("customer_id"), (k % 20 + 1).alias("runner_id"), ((k * 13) % 5 + 1).alias("rating"))
 
 
+class _LazyDelivery(_Lazy):
+    _builders = {"customer_orders": lambda s, d: customer_orders(s, d),
+                 "runner_orders": lambda s, d: runner_orders(s, d),
+                 "pizza_names": lambda s, d: pizza_names(s, d),
+                 "pizza_recipes": lambda s, d: pizza_recipes(s, d),
+                 "pizza_toppings": lambda s, d: pizza_toppings(s, d),
+                 "runners": lambda s, d: runners(s, d),
+                 "customer_ratings": lambda s, d: customer_ratings(s, d)}
+
+
 def delivery_tables(spark, sf_dir) -> DeliveryTables:
-    return DeliveryTables(
-        customer_orders=customer_orders(spark, sf_dir),
-        runner_orders=runner_orders(spark, sf_dir),
-        pizza_names=pizza_names(spark, sf_dir),
-        pizza_recipes=pizza_recipes(spark, sf_dir),
-        pizza_toppings=pizza_toppings(spark, sf_dir),
-        runners=runners(spark, sf_dir),
-        customer_ratings=customer_ratings(spark, sf_dir))
+    """A :class:`DeliveryTables`-shaped bundle over the testdata (members built lazily)."""
+    return _LazyDelivery(spark, sf_dir)
 
 
 # ------------------------------------------------------------ parameters
