@@ -1,0 +1,28 @@
+"""The streaming running totals equal the batch L01/L09 answers on the same files."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.plans import loyalty as L
+from tillroll.sources import testdata as TD
+from tillroll.streaming import purchase_stream, start_running_totals
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="testdata not present")
+def test_running_totals_match_batch(spark):
+    menu = TD.menu(spark, SF)
+    featured = F.col("product_type") == TD.FEATURED_TYPE
+    q = start_running_totals(spark, purchase_stream(spark, SF, "events*.parquet"), menu, featured,
+                             query_name="tillroll_totals_test")
+    q.awaitTermination(300)
+    got = {r.customer_id: (float(r.total_purchase), float(r.total_points))
+           for r in spark.sql("SELECT * FROM tillroll_totals_test").collect()}
+    t = TD.loyalty_tables(spark, SF)
+    spend = {r.customer_id: float(r.total_purchase) for r in L.l01_total_spend(t).collect()}
+    pts = {r.customer_id: float(r.total_points) for r in L.l09_points(t, featured).collect()}
+    assert set(got) == set(spend)
+    assert all(got[c] == (spend[c], pts[c]) for c in got)

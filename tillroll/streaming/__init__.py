@@ -1,0 +1,8 @@
+"""Incremental versions of existing queries (no new operators).
+
+``loyalty.py`` keeps L01 (spend) and L09 (points) current as purchase files
+arrive, with Structured Streaming: a file source, a stream-static join to the
+menu, and a keyed streaming aggregation whose state is one row per customer.
+"""
+
+from tillroll.streaming.loyalty import purchase_stream, running_totals, start_running_totals  # noqa: F401
