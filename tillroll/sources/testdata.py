@@ -101,9 +101,19 @@ class _LazyLoyalty(_Lazy):
                  "members": lambda s, d: members(s, d)}
 
 
+def _bundle(cls, spark, sf_dir):
+    # One bundle per session and folder: the adapter plans are built once and
+    # reused by every query, like temp views over the files.
+    key = (cls.__name__, id(spark), sf_dir)
+    b = _SCANS.get(key)
+    if b is None or b._spark is not spark:
+        b = _SCANS[key] = cls(spark, sf_dir)
+    return b
+
+
 def loyalty_tables(spark, sf_dir) -> LoyaltyTables:
     """A :class:`LoyaltyTables`-shaped bundle over the testdata (members built lazily)."""
-    return _LazyLoyalty(spark, sf_dir)
+    return _bundle(_LazyLoyalty, spark, sf_dir)
 
 
 # --------------------------------------------------------------- delivery
@@ -201,7 +211,7 @@ class _LazyDelivery(_Lazy):
 
 def delivery_tables(spark, sf_dir) -> DeliveryTables:
     """A :class:`DeliveryTables`-shaped bundle over the testdata (members built lazily)."""
-    return _LazyDelivery(spark, sf_dir)
+    return _bundle(_LazyDelivery, spark, sf_dir)
 
 
 # ------------------------------------------------------------ parameters
