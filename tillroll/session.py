@@ -22,8 +22,12 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcast only sides that are small by measurement: 10 MB from plan
+    # statistics (Spark's default), 4 MB for AQE's runtime conversion. A
+    # broadcast is shipped to every executor, so on a 1000-executor cluster
+    # its cost is ~1000x its size; everything larger is a sort-merge join.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(4 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
