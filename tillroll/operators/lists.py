@@ -60,22 +60,24 @@ def recipe_entries(recipes: DataFrame, toppings: DataFrame, key: str = "pizza_id
 
 def variant_quantities(variants: DataFrame, recipe_ids: DataFrame, keys: Sequence[str],
                        pizza_key: str = "pizza_id", removes: str = "exclusions", adds: str = "extras",
-                       id_col: str = "topping_id") -> DataFrame:
+                       id_col: str = "topping_id", carry: Sequence[str] = ()) -> DataFrame:
     """Per variant (``keys`` = pizza + raw removes/adds texts), the quantity of each ingredient.
 
     quantity = [in recipe] - [in removes] + (occurrences in adds); only positive
-    quantities are returned: ``(*keys, id_col, qty)``. ``variants`` must hold
-    distinct keys; ``recipe_ids`` is ``(pizza_key, id_col)`` with one row per
-    distinct ingredient of the recipe.
+    quantities are returned: ``(*keys, *carry, id_col, qty)``. ``variants`` must
+    hold distinct keys; ``carry`` columns (e.g. a row count per variant) ride
+    along unchanged. ``recipe_ids`` is ``(pizza_key, id_col)`` with one row
+    per distinct ingredient of the recipe.
     """
+    cols = [*keys, *carry]
     base = (variants.join(recipe_ids.select(pizza_key, id_col).distinct(), on=pizza_key)
-                    .select(*keys, id_col, F.lit(1).alias("__d")))
-    rem = variants.select(*keys, F.explode(int_tokens(null_token(removes), distinct=True)).alias(id_col),
+                    .select(*cols, id_col, F.lit(1).alias("__d")))
+    rem = variants.select(*cols, F.explode(int_tokens(null_token(removes), distinct=True)).alias(id_col),
                           F.lit(-1).alias("__d"))
-    add = variants.select(*keys, F.explode(int_tokens(null_token(adds))).alias(id_col), F.lit(1).alias("__d"))
+    add = variants.select(*cols, F.explode(int_tokens(null_token(adds))).alias(id_col), F.lit(1).alias("__d"))
     # NULL-safe grouping keys: groupBy treats NULL texts as one group.
     return (base.unionByName(rem).unionByName(add)
-                .groupBy(*keys, id_col).agg(F.sum("__d").alias("qty"))
+                .groupBy(*cols, id_col).agg(F.sum("__d").alias("qty"))
                 .filter(F.col("qty") > 0))
 
 

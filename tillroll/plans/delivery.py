@@ -372,27 +372,26 @@ def c05_ingredient_lists(t: DeliveryTables) -> DataFrame:
 
 
 def _variant_lists(t: DeliveryTables, variants: DataFrame) -> DataFrame:
-    """Per variant key, the alphabetical ingredient list with 'Nx' for quantities above one."""
+    """Per variant key with at least one ingredient, the alphabetical list with 'Nx' above one."""
     rid = recipe_entries(t.pizza_recipes, t.pizza_toppings, match="int").select("pizza_id", "topping_id")
     qty = variant_quantities(variants, rid, VARIANT)
     named = qty.join(t.pizza_toppings, "topping_id")
     label = F.when(F.col("qty") > 1, F.concat(F.col("qty").cast("string"), F.lit("x"), F.col("topping_name"))) \
              .otherwise(F.col("topping_name"))
-    lists = named.groupBy(*VARIANT).agg(
+    return named.groupBy(*VARIANT).agg(
         ordered_concat(label, F.lower("topping_name"), F.col("topping_name")).alias("__list"))
-    return null_safe_join(variants.select(*VARIANT), lists, VARIANT, "left")
 
 
 def c05_ingredient_lists_intended(t: DeliveryTables) -> DataFrame:
     """One list per item: recipe minus exclusions plus extras ('2xBacon' when doubled).
 
     Lists are computed once per distinct (pizza, exclusions, extras) variant
-    and joined back to the items with NULL-safe keys.
+    and joined back to the items with NULL-safe keys (an item whose variant
+    has no ingredient left gets an empty list).
     """
     co = t.customer_orders
-    variants = co.select(*VARIANT).distinct()
-    vl = _variant_lists(t, variants)
-    j = null_safe_join(co.select("order_id", *VARIANT), vl, VARIANT) \
+    vl = _variant_lists(t, co.select(*VARIANT).distinct())
+    j = null_safe_join(co.select("order_id", *VARIANT), vl, VARIANT, "left") \
         .join(t.pizza_names.select("pizza_id", "pizza_name"), "pizza_id")
     out = F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce(F.col("__list"), F.lit("")))
     return j.select("order_id", out.alias("ingredient_list")).orderBy("order_id", "ingredient_list")
@@ -411,8 +410,8 @@ def c06_ingredient_totals_intended(t: DeliveryTables) -> DataFrame:
     """Ingredients actually used by delivered items: recipe - exclusions + extras."""
     variants = (_delivered_items(t, intended=True).groupBy(*VARIANT).agg(F.count(F.lit(1)).alias("n")))
     rid = recipe_entries(t.pizza_recipes, t.pizza_toppings, match="int").select("pizza_id", "topping_id")
-    qty = variant_quantities(variants.select(*VARIANT), rid, VARIANT)
-    w = null_safe_join(qty, variants, VARIANT).select("topping_id", (F.col("qty") * F.col("n")).alias("q"))
+    qty = variant_quantities(variants, rid, VARIANT, carry=["n"])
+    w = qty.select("topping_id", (F.col("qty") * F.col("n")).alias("q"))
     return (w.join(t.pizza_toppings, "topping_id")
              .groupBy("topping_name").agg(F.sum("q").alias("total_quantity"))
              .orderBy(F.desc("total_quantity"), "topping_name"))
