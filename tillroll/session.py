@@ -21,6 +21,10 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Item rows meet their order through chains of joins on the same key
+    # (items -> orders -> runner rows), which AQE only splits for a hot key if
+    # it may add a shuffle after the split; one order may hold a third of the rows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Broadcast only sides that are small by measurement: 10 MB from plan
     # statistics (Spark's default), 4 MB for AQE's runtime conversion. A
