@@ -1,16 +1,22 @@
 """Write tasks (D03 recreate, E02 append) and the driver entry points."""
 
 import os
-import tempfile
+import uuid
 
 from tests import seed
 from tillroll.plans import delivery as P
+from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources.sinks import append_rows, overwrite_table
 
 
+def scratch(spark):
+    """A fresh folder under the session's shared checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), "sink-tests", uuid.uuid4().hex)
+
+
 def test_d03_overwrite_is_idempotent(spark):
     t = seed.delivery(spark)
-    path = os.path.join(tempfile.mkdtemp(prefix="tillroll-sink-"), "customer_ratings")
+    path = os.path.join(scratch(spark), "customer_ratings")
     overwrite_table(P.d03_ratings(t), path)
     overwrite_table(P.d03_ratings(t), path)  # DROP IF EXISTS + CREATE: same content, not doubled
     back = spark.read.parquet(path)
@@ -20,7 +26,7 @@ def test_d03_overwrite_is_idempotent(spark):
 
 def test_e02_append_new_pizza(spark):
     t = seed.delivery(spark)
-    root = tempfile.mkdtemp(prefix="tillroll-sink-")
+    root = scratch(spark)
     names, recipes = os.path.join(root, "pizza_names"), os.path.join(root, "pizza_recipes")
     overwrite_table(t.pizza_names, names)
     overwrite_table(t.pizza_recipes, recipes)

@@ -1,6 +1,7 @@
 """The streaming running totals equal the batch L01/L09 answers on the same files."""
 
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,13 +17,26 @@ SF = "/root/testdata/sf0.001"
 def test_running_totals_match_batch(spark):
     menu = TD.menu(spark, SF)
     featured = F.col("product_type") == TD.FEATURED_TYPE
-    q = start_running_totals(spark, purchase_stream(spark, SF, "events*.parquet"), menu, featured,
-                             query_name="tillroll_totals_test")
+    name = f"tillroll_totals_{uuid.uuid4().hex[:12]}"  # fresh checkpoint: a reused one resumes past the files
+    q = start_running_totals(spark, purchase_stream(spark, SF, "events*.parquet"), menu, featured, query_name=name)
     q.awaitTermination(300)
     got = {r.customer_id: (float(r.total_purchase), float(r.total_points))
-           for r in spark.sql("SELECT * FROM tillroll_totals_test").collect()}
+           for r in spark.sql(f"SELECT * FROM {name}").collect()}
     t = TD.loyalty_tables(spark, SF)
     spend = {r.customer_id: float(r.total_purchase) for r in L.l01_total_spend(t).collect()}
     pts = {r.customer_id: float(r.total_points) for r in L.l09_points(t, featured).collect()}
     assert set(got) == set(spend)
     assert all(got[c] == (spend[c], pts[c]) for c in got)
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="testdata not present")
+def test_restart_resumes_from_checkpoint(spark):
+    menu = TD.menu(spark, SF)
+    featured = F.col("product_type") == TD.FEATURED_TYPE
+    name = f"tillroll_resume_{uuid.uuid4().hex[:12]}"
+    for _ in range(2):  # second start: same checkpoint, no new files -> nothing reprocessed
+        q = start_running_totals(spark, purchase_stream(spark, SF, "events*.parquet"), menu, featured,
+                                 query_name=name)
+        q.awaitTermination(300)
+        rows = [p["numInputRows"] for p in q.recentProgress]
+    assert sum(rows) == 0

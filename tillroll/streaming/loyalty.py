@@ -50,15 +50,17 @@ def running_totals(sales: DataFrame, menu: DataFrame, featured: Column) -> DataF
 
 def start_running_totals(spark: SparkSession, sales: DataFrame, menu: DataFrame, featured: Column,
                          query_name: str, sink: str = "memory", path: str | None = None,
-                         available_now: bool = True) -> StreamingQuery:
-    """Start the running-totals query; checkpoints go under ``spark.checkpoint.dir``.
+                         available_now: bool = True, checkpoint: str | None = None) -> StreamingQuery:
+    """Start the running-totals query; checkpoints go under ``spark.checkpoint.dir``
+    (``<dir>/streams/<query_name>``) unless ``checkpoint`` is given. A restart
+    with the same checkpoint resumes: already processed files are not read again.
 
     ``sink='memory'`` exposes the table ``query_name`` (tests, notebooks);
     any other value is a format written with ``foreachBatch`` as a full
     overwrite of the current totals at ``path`` (the result is one row per
     customer, so the snapshot is bounded by the customer count).
     """
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", query_name)
+    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams", query_name)
     agg = running_totals(sales, menu, featured)
     w = agg.writeStream.queryName(query_name).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
