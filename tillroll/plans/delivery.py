@@ -347,13 +347,19 @@ def c05_ingredient_lists(t: DeliveryTables) -> DataFrame:
     recipe = ent.groupBy("pizza_id").agg(F.collect_list(F.struct(
         F.lower("topping_name").alias("k0"), F.col("topping_name").alias("k1"), F.col("topping_id").alias("id"))
     ).alias("recipe"))
-    extras = (co.filter(listed("extras"))
-                .groupBy("order_id", "extras").agg(F.count(F.lit(1)).alias("__r"))
-                .select("order_id", "__r", F.explode(F.split("extras", ",")).alias("__tok"))
-                .select("order_id", "__r", F.trim("__tok").try_cast("int").alias("__id"))
-                .filter(F.col("__id").isNotNull())
-                .groupBy("order_id", "__id").agg(F.sum("__r").alias("__e"))
-                .groupBy("order_id").agg(F.map_from_entries(F.collect_list(F.struct("__id", "__e"))).alias("xmap")))
+    # per order: distinct extras texts with their row counts (bounded by the
+    # distinct texts of one order), turned in-row into topping id -> rows
+    texts = (co.filter(listed("extras"))
+               .groupBy("order_id", "extras").agg(F.count(F.lit(1)).alias("n"))
+               .groupBy("order_id").agg(F.collect_list(F.struct("extras", "n")).alias("__t")))
+    pairs = F.flatten(F.transform("__t", lambda e: F.transform(
+        int_tokens(e["extras"]), lambda i: F.struct(i.alias("id"), e["n"].alias("n")))))
+    extras = texts.select("order_id", pairs.alias("__p")).select(
+        "order_id", F.map_from_arrays(
+            F.array_distinct(F.transform("__p", lambda p: p["id"])),
+            F.transform(F.array_distinct(F.transform("__p", lambda p: p["id"])),
+                        lambda d: F.aggregate(F.filter("__p", lambda p: p["id"] == d), F.lit(0).cast("bigint"),
+                                              lambda acc, p: acc + p["n"]))).alias("xmap"))
     menu = t.pizza_names.select("pizza_id", "pizza_name").join(recipe, "pizza_id")  # pizza grain
     j = items.join(menu, "pizza_id").join(extras, "order_id", "left")
 
