@@ -66,19 +66,27 @@ def variant_quantities(variants: DataFrame, recipe_ids: DataFrame, keys: Sequenc
     quantity = [in recipe] - [in removes] + (occurrences in adds); only positive
     quantities are returned: ``(*keys, *carry, id_col, qty)``. ``variants`` must
     hold distinct keys; ``carry`` columns (e.g. a row count per variant) ride
-    along unchanged. ``recipe_ids`` is ``(pizza_key, id_col)`` with one row
-    per distinct ingredient of the recipe.
+    along unchanged. ``recipe_ids`` is ``(pizza_key, id_col)``.
+
+    ``variants`` is read once: each variant gets its recipe as one array
+    (recipe-sized, from a per-pizza aggregate), and a single explode of
+    ``recipe (+1) ++ removes (-1) ++ adds (+1)`` feeds one aggregate.
     """
     cols = [*keys, *carry]
-    base = (variants.join(recipe_ids.select(pizza_key, id_col).distinct(), on=pizza_key)
-                    .select(*cols, id_col, F.lit(1).alias("__d")))
-    rem = variants.select(*cols, F.explode(int_tokens(null_token(removes), distinct=True)).alias(id_col),
-                          F.lit(-1).alias("__d"))
-    add = variants.select(*cols, F.explode(int_tokens(null_token(adds))).alias(id_col), F.lit(1).alias("__d"))
-    # NULL-safe grouping keys: groupBy treats NULL texts as one group.
-    return (base.unionByName(rem).unionByName(add)
-                .groupBy(*cols, id_col).agg(F.sum("__d").alias("qty"))
-                .filter(F.col("qty") > 0))
+    recipes = recipe_ids.groupBy(pizza_key).agg(F.array_distinct(F.collect_list(id_col)).alias("__rids"))
+    delta_t = "array<struct<id:bigint,d:int>>"
+
+    def tagged(ids: Column, d: int) -> Column:
+        return F.coalesce(F.transform(ids, lambda x: F.struct(x.cast("bigint").alias("id"), F.lit(d).alias("d"))),
+                          F.array().cast(delta_t))
+
+    deltas = F.concat(tagged(F.col("__rids"), 1),
+                      tagged(int_tokens(null_token(removes), distinct=True), -1),
+                      tagged(int_tokens(null_token(adds)), 1))
+    return (variants.join(recipes, pizza_key, "left")
+                    .select(*cols, F.explode(deltas).alias("__e"))
+                    .groupBy(*cols, F.col("__e.id").alias(id_col)).agg(F.sum("__e.d").alias("qty"))
+                    .filter(F.col("qty") > 0))
 
 
 def labelled_tokens(texts: DataFrame, text_col: str, toppings: DataFrame, id_col: str = "topping_id",
