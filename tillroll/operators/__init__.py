@@ -1,8 +1,9 @@
 """DataFrame -> DataFrame operators. Column names are parameters; nothing here
 knows about a particular domain. No operator collects to the driver, and no
-operator gathers an unbounded group into one task: extremes and top-k use
-aggregation + equi-join back, ranks are taken over de-duplicated keys,
-list work runs once per distinct list text."""
+operator gathers an unbounded group into one task: extremes are rank filters
+that Spark limits map-side before the shuffle, top-k with ties uses a scalar
+threshold, ranks are taken over de-duplicated keys, list work runs once per
+distinct list text."""
 
 from tillroll.operators.extremes import rows_at_extreme, top_n_with_ties, most_frequent_per_key  # noqa: F401
 from tillroll.operators.ranking import masked_dense_rank  # noqa: F401

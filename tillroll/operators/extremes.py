@@ -1,30 +1,36 @@
 """Rows at a per-key extreme, and top-n with ties.
 
-Both avoid a window over the whole key: a window puts every row of a key in
-one task, and one customer may hold a third of all rows. Here the per-key
-extreme is a partial+final hash aggregate (map-side combine), and the rows are
-recovered with an equi-join on (keys, value). That join spreads a hot key over
-its values, AQE splits what is still skewed, and the aggregated side is
-broadcast by AQE only when its measured size is below the threshold.
+``rows_at_extreme`` is a ``rank() = 1`` filter over a window partitioned by
+the key. Spark plans that filter as a *partial* WindowGroupLimit before the
+shuffle and a final one after it: each map task sorts its own rows and sends
+only the rows at its local extreme per key, so a customer holding a third of
+all rows contributes a handful of candidate rows per task, not its rows, and
+the fact is scanned once. ``top_n_with_ties`` never uses a window at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def rows_at_extreme(df: DataFrame, keys: Sequence[str], value: str, which: str = "min") -> DataFrame:
     """All rows whose ``value`` equals the per-key min (``which='min'``) or max.
 
-    Ties and duplicate rows are kept; rows with NULL keys or NULL value never
-    qualify (an inner equi-join, as in ``JOIN (SELECT k, MIN(v) ...) ON k AND v``).
+    Ties and duplicate rows are kept; rows with a NULL key or NULL value never
+    qualify (the semantics of ``JOIN (SELECT k, MIN(v) ...) ON k AND v``).
     """
-    agg = {"min": F.min, "max": F.max}[which]
-    ext = df.groupBy(*keys).agg(agg(value).alias(value))
-    return df.join(ext, on=[*keys, value], how="inner")
+    order = {"min": F.col(value).asc(), "max": F.col(value).desc()}[which]
+    present = F.col(value).isNotNull()
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    w = Window.partitionBy(*keys).orderBy(order)
+    return (df.filter(present)
+              .withColumn("__rank", F.rank().over(w))
+              .filter(F.col("__rank") == 1)
+              .drop("__rank"))
 
 
 def top_n_with_ties(df: DataFrame, value: str, n: int = 1, descending: bool = True) -> DataFrame:
@@ -44,8 +50,8 @@ def top_n_with_ties(df: DataFrame, value: str, n: int = 1, descending: bool = Tr
 def most_frequent_per_key(df: DataFrame, keys: Sequence[str], item: str, count_col: str = "cnt") -> DataFrame:
     """Per key, the item(s) with the highest row count (ties kept): ``keys, item, count_col``.
 
-    Two hash aggregates (counts per (key, item), then max per key) and an
-    equi-join back on (key, count) -- no window.
+    A hash aggregate (counts per (key, item), combined map-side) followed by
+    :func:`rows_at_extreme` over the counts.
     """
     counts = df.groupBy(*keys, item).agg(F.count(F.lit(1)).alias(count_col))
     return rows_at_extreme(counts, keys, count_col, which="max")
