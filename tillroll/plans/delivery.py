@@ -314,8 +314,9 @@ def c04_order_item_labels_intended(t: DeliveryTables) -> DataFrame:
     The id->name rendering runs once per distinct list text and is joined back.
     """
     co = t.customer_orders
-    texts = (co.filter(has_value("exclusions")).select(F.col("exclusions").alias("txt"))
-             .unionByName(co.filter(has_value("extras")).select(F.col("extras").alias("txt"))))
+    # both list columns in one pass over the items
+    texts = (co.select(F.explode(F.array("exclusions", "extras")).alias("txt"))
+               .filter(has_value("txt")).distinct())
     labels = labelled_tokens(texts, "txt", t.pizza_toppings)
     ex = labels.select(F.col("txt").alias("exclusions"), F.col("label").alias("ex_label"))
     xt = labels.select(F.col("txt").alias("extras"), F.col("label").alias("xt_label"))
