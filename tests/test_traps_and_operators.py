@@ -4,7 +4,6 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillroll import functions as TF
 from tillroll import operators as O
