@@ -8,7 +8,9 @@ Same semantics as L01/L09 on the batch tables; the streaming plan is
       -> update-mode sink with a checkpoint in the session's checkpoint folder
 
 A lost executor or a restarted query resumes from the checkpoint (offsets +
-state store), so totals are neither lost nor double counted.
+state store), so totals are neither lost nor double counted. The state is one
+row per customer; the menu side of the stream-static join is re-read each
+micro-batch (it is a dimension; the planner broadcasts it only when small).
 """
 
 from __future__ import annotations
