@@ -46,10 +46,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     Like a catalog table: the file listing and footer schema are resolved
     once; every query still scans the files (nothing is cached in memory).
     """
-    key = (id(spark), f"{sf_dir}/{name}.parquet")
+    from tillroll.sources.layout import BUCKETED_DATABASE_CONF, bucketed_table
+    db = spark.conf.get(BUCKETED_DATABASE_CONF, None)
+    key = (id(spark), f"{sf_dir}/{name}.parquet", db)
     df = _SCANS.get(key)
     if df is None or df.sparkSession is not spark:
-        df = _SCANS[key] = spark.read.parquet(key[1])
+        df = _SCANS[key] = bucketed_table(spark, name) or spark.read.parquet(key[1])
     return df
 
 
@@ -104,7 +106,8 @@ class _LazyLoyalty(_Lazy):
 def _bundle(cls, spark, sf_dir):
     # One bundle per session and folder: the adapter plans are built once and
     # reused by every query, like temp views over the files.
-    key = (cls.__name__, id(spark), sf_dir)
+    from tillroll.sources.layout import BUCKETED_DATABASE_CONF
+    key = (cls.__name__, id(spark), sf_dir, spark.conf.get(BUCKETED_DATABASE_CONF, None))
     b = _SCANS.get(key)
     if b is None or b._spark is not spark:
         b = _SCANS[key] = cls(spark, sf_dir)
