@@ -87,3 +87,17 @@ def test_l12_ranks_only_member_rows(t):
         ("B", D(2021, 1, 1), None), ("B", D(2021, 1, 2), None), ("B", D(2021, 1, 4), None),
         ("B", D(2021, 1, 11), 1), ("B", D(2021, 1, 16), 2), ("B", D(2021, 2, 1), 3),
         ("C", D(2021, 1, 1), None), ("C", D(2021, 1, 1), None), ("C", D(2021, 1, 7), None)]
+
+
+def test_null_keys_sort_last(spark):
+    """The loyalty queries' dialect sorts NULLs last in ascending order."""
+    from tillroll.sources import tables as TT
+    from tillroll.sources.tables import LoyaltyTables
+    rows = seed.SALES + [(None, D(2021, 1, 3), 1)]
+    t = LoyaltyTables(spark.createDataFrame(rows, TT.SALES), spark.createDataFrame(seed.MENU, TT.MENU),
+                      spark.createDataFrame(seed.MEMBERS, TT.MEMBERS))
+    assert [r[0] for r in rows_of(L.l02_visit_days(t))] == ["A", "B", "C", None]
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]

@@ -21,6 +21,11 @@ from tillroll.operators import attach_membership, masked_dense_rank, most_freque
 from tillroll.sources.tables import LoyaltyTables
 
 
+def _pg_order(*cols: str) -> list[Column]:
+    """ORDER BY as the loyalty queries' dialect sorts: ascending with NULLs last."""
+    return [F.col(c).asc_nulls_last() for c in cols]
+
+
 def _pair_counts(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Purchases reduced to one row per ``keys`` with the number of rows ``n``."""
     return sales.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -32,14 +37,14 @@ def l01_total_spend(t: LoyaltyTables) -> DataFrame:
     return (pairs.join(t.menu, "product_id")
                  .groupBy("customer_id")
                  .agg(F.sum(F.col("price") * F.col("n")).alias("total_purchase"))
-                 .orderBy("customer_id"))
+                 .orderBy(*_pg_order("customer_id")))
 
 
 def l02_visit_days(t: LoyaltyTables) -> DataFrame:
     """Distinct days each customer visited."""
     return (t.sales.groupBy("customer_id")
                    .agg(F.countDistinct("order_date").alias("total_visits"))
-                   .orderBy("customer_id"))
+                   .orderBy(*_pg_order("customer_id")))
 
 
 def l03_first_day_items(t: LoyaltyTables) -> DataFrame:
@@ -47,7 +52,7 @@ def l03_first_day_items(t: LoyaltyTables) -> DataFrame:
     first = rows_at_extreme(t.sales, ["customer_id"], "order_date", "min")
     return (first.join(t.menu, "product_id")
                  .select("customer_id", "product_name", "order_date")
-                 .orderBy("customer_id", "product_name"))
+                 .orderBy(*_pg_order("customer_id", "product_name")))
 
 
 def l04_most_purchased(t: LoyaltyTables) -> DataFrame:
@@ -56,7 +61,7 @@ def l04_most_purchased(t: LoyaltyTables) -> DataFrame:
     return (per_product.join(t.menu, "product_id")
                        .groupBy("product_name")
                        .agg(F.sum("n").alias("total_item_purchase"))
-                       .orderBy(F.desc("total_item_purchase"), "product_name")
+                       .orderBy(F.col("total_item_purchase").desc_nulls_first(), *_pg_order("product_name"))
                        .limit(1))
 
 
@@ -65,7 +70,7 @@ def l05_favourite_items(t: LoyaltyTables) -> DataFrame:
     top = most_frequent_per_key(t.sales, ["customer_id"], "product_id")
     return (top.join(t.menu, "product_id")
                .select("customer_id", "product_id", "product_name")
-               .orderBy("customer_id", "product_name"))
+               .orderBy(*_pg_order("customer_id", "product_name")))
 
 
 def _member_purchases(t: LoyaltyTables, after: bool) -> DataFrame:
@@ -79,7 +84,7 @@ def l06_first_after_joining(t: LoyaltyTables) -> DataFrame:
     first = rows_at_extreme(_member_purchases(t, after=True), ["customer_id"], "order_date", "min")
     return (first.join(t.menu, "product_id")
                  .select("customer_id", "product_id", "product_name", "order_date")
-                 .orderBy("customer_id", "product_name"))
+                 .orderBy(*_pg_order("customer_id", "product_name")))
 
 
 def l07_last_before_joining(t: LoyaltyTables) -> DataFrame:
@@ -87,7 +92,7 @@ def l07_last_before_joining(t: LoyaltyTables) -> DataFrame:
     last = rows_at_extreme(_member_purchases(t, after=False), ["customer_id"], "order_date", "max")
     return (last.join(t.menu, "product_id")
                 .select("customer_id", "product_id", "product_name", "order_date")
-                .orderBy("customer_id", "product_name"))
+                .orderBy(*_pg_order("customer_id", "product_name")))
 
 
 def l08_before_joining_totals(t: LoyaltyTables) -> DataFrame:
@@ -97,7 +102,7 @@ def l08_before_joining_totals(t: LoyaltyTables) -> DataFrame:
                  .groupBy("customer_id")
                  .agg(F.sum("n").alias("total_items"),
                       F.sum(F.col("price") * F.col("n")).alias("total_amount_spent"))
-                 .orderBy("customer_id"))
+                 .orderBy(*_pg_order("customer_id")))
 
 
 def l09_points(t: LoyaltyTables, featured: Column) -> DataFrame:
@@ -106,7 +111,7 @@ def l09_points(t: LoyaltyTables, featured: Column) -> DataFrame:
     pts = points(F.col("price"), featured) * F.col("n")
     return (pairs.join(t.menu, "product_id")
                  .groupBy("customer_id").agg(F.sum(pts).alias("total_points"))
-                 .orderBy("customer_id"))
+                 .orderBy(*_pg_order("customer_id")))
 
 
 def l10_points_first_week(t: LoyaltyTables, featured: Column, cutoff: dt.date,
@@ -119,7 +124,7 @@ def l10_points_first_week(t: LoyaltyTables, featured: Column, cutoff: dt.date,
     boosted = F.col("in_first_days") | F.coalesce(featured, F.lit(False))
     pts = F.when(F.col("order_date") <= F.lit(cutoff), points(F.col("price"), boosted)).otherwise(F.lit(0))
     return (sw.groupBy("customer_id").agg(F.sum(pts * F.col("n")).alias("total_points"))
-              .orderBy("customer_id"))
+              .orderBy(*_pg_order("customer_id")))
 
 
 def _timeline(t: LoyaltyTables) -> DataFrame:
@@ -130,7 +135,7 @@ def _timeline(t: LoyaltyTables) -> DataFrame:
 
 def l11_member_timeline(t: LoyaltyTables) -> DataFrame:
     """Every purchase with product, price and a YES/NO member flag."""
-    return _timeline(t).orderBy("customer_id", "order_date", "product_name")
+    return _timeline(t).orderBy(*_pg_order("customer_id", "order_date", "product_name"))
 
 
 def l12_member_ranking(t: LoyaltyTables) -> DataFrame:
@@ -138,4 +143,4 @@ def l12_member_ranking(t: LoyaltyTables) -> DataFrame:
     ranked = masked_dense_rank(_timeline(t), ["customer_id", "member"], "order_date",
                                F.col("member") == "YES", out="ranks")
     return (ranked.select("customer_id", "order_date", "product_name", "price", "member", "ranks")
-                  .orderBy("customer_id", "order_date", "product_name"))
+                  .orderBy(*_pg_order("customer_id", "order_date", "product_name")))
