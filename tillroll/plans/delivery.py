@@ -397,11 +397,13 @@ def c05_ingredient_lists_intended(t: DeliveryTables) -> DataFrame:
     has no ingredient left gets an empty list).
     """
     co = t.customer_orders
-    vl = _variant_lists(t, co.select(*VARIANT).distinct())
-    j = null_safe_join(co.select("order_id", *VARIANT), vl, VARIANT, "left") \
-        .join(t.pizza_names.select("pizza_id", "pizza_name"), "pizza_id")
-    out = F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce(F.col("__list"), F.lit("")))
-    return j.select("order_id", out.alias("ingredient_list")).orderBy("order_id", "ingredient_list")
+    variants = co.select(*VARIANT).distinct()
+    named = variants.join(t.pizza_names.select("pizza_id", "pizza_name"), "pizza_id")  # variant grain
+    labelled = null_safe_join(named, _variant_lists(t, variants), VARIANT, "left").select(
+        *VARIANT, F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce(F.col("__list"), F.lit("")))
+        .alias("ingredient_list"))
+    return (null_safe_join(co.select("order_id", *VARIANT), labelled, VARIANT)
+            .select("order_id", "ingredient_list").orderBy("order_id", "ingredient_list"))
 
 
 def c06_ingredient_totals(t: DeliveryTables) -> DataFrame:
