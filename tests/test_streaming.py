@@ -40,3 +40,18 @@ def test_restart_resumes_from_checkpoint(spark):
         q.awaitTermination(300)
         rows = [p["numInputRows"] for p in q.recentProgress]
     assert sum(rows) == 0
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="testdata not present")
+def test_snapshot_sink_writes_current_totals(spark):
+    from tillroll.session import ensure_checkpoint_dir
+    menu = TD.menu(spark, SF)
+    featured = F.col("product_type") == TD.FEATURED_TYPE
+    name = f"tillroll_snap_{uuid.uuid4().hex[:12]}"
+    path = os.path.join(ensure_checkpoint_dir(spark), "stream-out", name)
+    q = start_running_totals(spark, purchase_stream(spark, SF, "events*.parquet"), menu, featured,
+                             query_name=name, sink="parquet", path=path)
+    q.awaitTermination(300)
+    snap = {r.customer_id: float(r.total_purchase) for r in spark.read.parquet(path).collect()}
+    spend = {r.customer_id: float(r.total_purchase) for r in L.l01_total_spend(TD.loyalty_tables(spark, SF)).collect()}
+    assert snap == spend
