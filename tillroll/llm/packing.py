@@ -178,7 +178,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = SIZE) -> Data
     spark = docs.sparkSession
     cut = materialise(pieces(docs, tokenizer, end_id, size), "pieces")
     # Ranks within a length, in buckets: a length that holds most rows is still spread.
-    bucket = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(4 * sql_partitions(spark)))
+    bucket = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(sql_partitions(spark)))
     cut = cut.withColumn("bucket", bucket)
     counts = cut.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -186,7 +186,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = SIZE) -> Data
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}  # ``size`` rows at most
     table = spark.createDataFrame(slots(histogram, size), "slot_length bigint, first bigint, ranks bigint, per bigint, sequence bigint, at bigint")
     inner = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32")
-    ranked = cut.withColumn("row", F.row_number().over(inner) - 1).join(counts.drop("n"), ["length", "bucket"]) \
+    ranked = cut.withColumn("row", F.row_number().over(inner) - 1).join(counts.drop("n").hint("merge"), ["length", "bucket"]) \
         .withColumn("r", F.col("row") + F.col("before"))
     k = F.col("r") - F.col("first")
     return ranked.join(F.broadcast(table), (F.col("length") == F.col("slot_length")) & (k >= 0) & (k < F.col("ranks"))).select(
