@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, packing, token_files
+from tillroll.llm import decontaminate, language_model, packing, token_files
 from tillroll.llm.common import read_table
 
 #: File names in the folder of public tokenizers.
@@ -31,7 +31,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), end_id=0).drop("ids")
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_lm_scores": op3_lm_scores,
     "op6_token_files": op6_token_files,
     "op7_decontamination": op7_decontamination,
     "op9_packing": op9_packing,
