@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,19 +66,18 @@ def table_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def row_chunks(batches: Iterable[pa.RecordBatch], limit: int = 16 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """(rows, their texts) of at most about ``limit`` characters each; a longer text comes
-    alone, a null text as empty."""
+def row_chunks(batches: Iterable[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """(rows, their texts) of at most about ``limit`` bytes of text each; a longer text comes
+    alone, a null text as empty. Only the texts of one chunk are Python objects at a time."""
     for batch in batches:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
         begin = size = 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > limit:
-                yield batch.slice(begin, i - begin), texts[begin:i]
+        for i, n in enumerate([*sizes.tolist(), limit + 1]):
+            if (size + n > limit or i == len(sizes)) and i > begin:
+                rows = batch.slice(begin, i - begin)
+                yield rows, [t or "" for t in rows.column("text").to_pylist()]
                 begin, size = i, 0
-            size += len(t)
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+            size += n
 
 
 def replace_column(batch: pa.RecordBatch, name: str, values) -> pa.RecordBatch:
