@@ -35,7 +35,7 @@ BACKOFF = 20.0
 #: Added to word counts at the root.
 SMOOTHING = 0.1
 #: Characters of a block of documents.
-BLOCK_CHARS = 24 << 20
+BLOCK_CHARS = 12 << 20
 END, START = b"\n", b" "  # no word holds white space
 
 
@@ -105,9 +105,17 @@ def _read_blocks(shards: int):
             train = np.repeat(~held, np.diff(offsets))
             out = [(0, block, -1, _save(ids=ids, offsets=offsets, hashes=hashes, held=held, doc=doc.fill_null(0).to_numpy(),
                                         null=doc.is_null().to_numpy(zero_copy_only=False)), None)]
-            for kind, at in ((1, hashes[ids]), (2, _bigrams(ids, offsets, hashes))):
-                keys, which = np.unique(at, return_inverse=True)
-                counts = np.bincount(which, train, len(keys)).astype(np.uint64)
+            for kind in (1, 2):
+                if kind == 1:
+                    order = np.argsort(hashes)
+                    keys, counts = hashes[order], np.bincount(ids, train, len(hashes))[order].astype(np.uint64)
+                else:
+                    at = _bigrams(ids, offsets, hashes)
+                    keys, counts = np.unique(at, return_counts=True)
+                    counts = counts.astype(np.uint64)
+                    kept_out, n = np.unique(at[~train], return_counts=True)
+                    counts[np.searchsorted(keys, kept_out)] -= n.astype(np.uint64)
+                    del at
                 cut = _shards(keys, shards)
                 for s, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
                     if i < j:
@@ -135,16 +143,15 @@ def _score(total: int, types: int, backoff: float):
         count = {k: np.concatenate([_expand(x) for x in answers["answer"][answers["kind"] == k]]).astype(np.float64) for k in (1, 2)}
         d = np.load(io.BytesIO(blocks["payload"].iloc[0]))
         ids, offsets, hashes = d["ids"], d["offsets"], d["hashes"]
-        used, which = np.unique(hashes, return_inverse=True)
-        if len(used) != len(count[1]):
-            raise ValueError("a block's answers are not whole")
-        c = count[1][which][ids]
+        known = np.zeros(len(hashes))
+        known[np.argsort(hashes)] = count[1]
+        c = known[ids]
         root = (c + SMOOTHING) / (total + SMOOTHING * (types + 1))
         # The state before each token: its context's count. START has gone on as often as END came.
         state = np.concatenate([c[:1], c[:-1]])
-        state[offsets[:-1]] = count[1][which][-1]
+        state[offsets[:-1]] = known[-1]
         bigrams = _bigrams(ids, offsets, hashes)
-        arc = count[2][np.unique(bigrams, return_inverse=True)[1]]
+        arc = count[2][np.searchsorted(np.unique(bigrams), bigrams)]
         fail = backoff / (state + backoff)  # no arc: the failure arc, then the root's
         weight = np.where(arc > 0, (arc + backoff * root) / (state + backoff), fail * root)
         begins = offsets[:-1]
@@ -165,8 +172,7 @@ def score(docs: DataFrame, held_out=None, backoff: float = BACKOFF) -> DataFrame
     rows = id_and_text(docs)
     rows = rows.withColumn("held_out", F.coalesce(crc_mod(F.col("doc_id"), 10) == 0 if held_out is None else held_out, F.lit(False)))
     sent = materialise(rows.mapInArrow(_read_blocks(sql_partitions(spark)), "kind int, block bigint, shard int, payload binary, counts binary"),
-                       "lm-blocks", "kind")
-    sent = sent.select("kind", "block", "shard", "payload", "counts")
+                       "lm-blocks")
     answers = materialise(sent.filter("kind > 0").groupBy("kind", "shard").applyInPandas(
         _add_up, "kind int, block bigint, shard int, answer binary, total bigint, types bigint"), "lm-answers")
     r = answers.filter("kind = -1").agg(F.sum("total"), F.sum("types")).first()
