@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, language_model, packing, token_files
+from tillroll.llm import decontaminate, language_model, ngram_join, packing, sanitise, token_files
 from tillroll.llm.common import read_table
 
 #: File names in the folder of public tokenizers.
@@ -35,11 +35,21 @@ def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(read_table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read_table(spark, sf_dir, "documents"))
+
+
+def op10_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_scores": op3_lm_scores,
+    "op5_ngram_join": op5_ngram_join,
     "op6_token_files": op6_token_files,
     "op7_decontamination": op7_decontamination,
     "op9_packing": op9_packing,
+    "op10_sanitise": op10_sanitise,
 }
 
 SQL: dict[str, str] = {}
