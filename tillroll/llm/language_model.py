@@ -11,7 +11,7 @@ The automaton grows with the corpus, so no task holds it. Documents are read
 in blocks; a block sends the distinct n-grams it holds, with its training
 counts, to shards by n-gram hash; a shard adds them up and answers each block;
 the block is scored with the part of the automaton it can reach. Words and
-n-grams are 64-bit hashes (a clash of two among 10**9 has a chance near 3 %).
+their pairs are hashes of 64 and 56 bits.
 
 Cases: a null or empty text is the end token alone; repeated rows count each
 time; with no training rows every count is 0; an empty table gives no rows.
@@ -19,8 +19,6 @@ time; with no training rows every count is 0; an empty table gives no rows.
 
 from __future__ import annotations
 
-import io
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -35,7 +33,7 @@ BACKOFF = 20.0
 #: Added to word counts at the root.
 SMOOTHING = 0.1
 #: Characters of a block of documents.
-BLOCK_CHARS = 12 << 20
+BLOCK_CHARS = 8 << 20
 END, START = b"\n", b" "  # no word holds white space
 
 
@@ -48,7 +46,8 @@ def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     x = (u * np.uint64(0x9E3779B97F4A7C15)) ^ (w + np.uint64(0x632BE59BD9B4E019))
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
+    # 56 bits: a clash of bigrams moves a weight by little, and their differences pack well.
+    return (x ^ (x >> np.uint64(32))) & np.uint64(0xFFFFFFFFFFFFFF00)
 
 
 def _squeeze(a: np.ndarray) -> bytes:
@@ -70,17 +69,25 @@ def _shards(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _save(**arrays) -> bytes:
-    f = io.BytesIO()
-    np.savez_compressed(f, **arrays)
-    return f.getvalue()
+    """Whole numbers of any kind, each squeezed."""
+    import pickle
+    return pickle.dumps({k: _squeeze(np.asarray(a).astype("<i8").view("<u8")) for k, a in arrays.items()})
+
+
+def _load(raw: bytes) -> dict[str, np.ndarray]:
+    import pickle
+    return {k: _expand(a).view("<i8") for k, a in pickle.loads(raw).items()}
 
 
 def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(local word ids with ends, offsets of texts, hash of each local word; the last one is END)."""
     words = split_words(texts, LOWER)
-    n = len(words.offsets) - 1
-    ids = np.insert(words.ids, words.offsets[1:], len(words.distinct))
-    return ids.astype(np.int32), words.offsets + np.arange(n + 1), np.concatenate([_hash(words.binary()), _hash([END])])
+    n, v = len(words.offsets) - 1, len(words.distinct)
+    by_count = np.argsort(-np.bincount(words.ids, minlength=v), kind="stable")  # small numbers for frequent words
+    number = np.empty(v, np.int32)
+    number[by_count] = np.arange(v, dtype=np.int32)
+    ids = np.insert(number[words.ids], words.offsets[1:], v)
+    return ids, words.offsets + np.arange(n + 1), np.concatenate([_hash(words.binary())[by_count], _hash([END])])
 
 
 def _bigrams(ids: np.ndarray, offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -103,8 +110,9 @@ def _read_blocks(shards: int):
             held = np.array(rows.column("held_out").to_pylist(), bool)
             doc = rows.column("doc_id")
             train = np.repeat(~held, np.diff(offsets))
-            out = [(0, block, -1, _save(ids=ids, offsets=offsets, hashes=hashes, held=held, doc=doc.fill_null(0).to_numpy(),
-                                        null=doc.is_null().to_numpy(zero_copy_only=False)), None)]
+            yield table_batch(dict(zip(BLOCKS.names, zip((0, block, -1, _save(ids=ids, offsets=offsets, hashes=hashes.view(np.int64), held=held, doc=doc.fill_null(0).to_numpy(),
+                                        null=doc.is_null().to_numpy(zero_copy_only=False)), None)))), BLOCKS)
+            del texts
             for kind in (1, 2):
                 if kind == 1:
                     order = np.argsort(hashes)
@@ -116,11 +124,11 @@ def _read_blocks(shards: int):
                     kept_out, n = np.unique(at[~train], return_counts=True)
                     counts[np.searchsorted(keys, kept_out)] -= n.astype(np.uint64)
                     del at
-                cut = _shards(keys, shards)
+                cut, out = _shards(keys, shards), []
                 for s, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
                     if i < j:
                         out.append((kind, block, s, _squeeze(np.diff(keys[i:j], prepend=np.uint64(0))), _squeeze(counts[i:j])))
-            yield table_batch(dict(zip(BLOCKS.names, zip(*out))), BLOCKS)
+                yield table_batch(dict(zip(BLOCKS.names, zip(*out))), BLOCKS)
     return step
 
 
@@ -141,8 +149,8 @@ def _score(total: int, types: int, backoff: float):
     def step(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         answers = answers.sort_values(["kind", "shard"])
         count = {k: np.concatenate([_expand(x) for x in answers["answer"][answers["kind"] == k]]).astype(np.float64) for k in (1, 2)}
-        d = np.load(io.BytesIO(blocks["payload"].iloc[0]))
-        ids, offsets, hashes = d["ids"], d["offsets"], d["hashes"]
+        d = _load(blocks["payload"].iloc[0])
+        ids, offsets, hashes = d["ids"].astype(np.int32), d["offsets"], d["hashes"].view(np.uint64)
         known = np.zeros(len(hashes))
         known[np.argsort(hashes)] = count[1]
         c = known[ids]
@@ -155,10 +163,10 @@ def _score(total: int, types: int, backoff: float):
         fail = backoff / (state + backoff)  # no arc: the failure arc, then the root's
         weight = np.where(arc > 0, (arc + backoff * root) / (state + backoff), fail * root)
         begins = offsets[:-1]
-        out = pd.DataFrame({"doc_id": pd.array(d["doc"], "Int64"), "held_out": d["held"], "n_tokens": np.diff(offsets),
+        out = pd.DataFrame({"doc_id": pd.array(d["doc"], "Int64"), "held_out": d["held"] > 0, "n_tokens": np.diff(offsets),
                             "n_known": np.add.reduceat((c > 0).astype(np.int64), begins), "train_tokens": total,
                             "base_score": np.add.reduceat(np.log10(root), begins), "score": np.add.reduceat(np.log10(weight), begins)})
-        out.loc[d["null"], "doc_id"] = pd.NA
+        out.loc[d["null"] > 0, "doc_id"] = pd.NA
         return out
     return step
 
