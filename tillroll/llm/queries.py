@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, language_model, ngram_join, packing, sanitise, token_files
+from tillroll.llm import decontaminate, language_model, ngram_join, packing, quality, sanitise, token_files
 from tillroll.llm.common import read_table
 
 #: File names in the folder of public tokenizers.
@@ -43,8 +43,13 @@ def op10_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.report(read_table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_scores": op3_lm_scores,
+    "op4_quality": op4_quality,
     "op5_ngram_join": op5_ngram_join,
     "op6_token_files": op6_token_files,
     "op7_decontamination": op7_decontamination,
