@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, language_model, ngram_join, packing, quality, sanitise, token_files, url_filter, vector_join
+from tillroll.llm import decontaminate, language_model, ngram_join, packing, quality, sanitise, secret_scan, token_files, url_filter, vector_join
 from tillroll.llm.common import read_table
 
 #: File names in the folder of public tokenizers.
@@ -31,6 +31,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), end_id=0).drop("ids")
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_join": op5_ngram_join,
     "op6_token_files": op6_token_files,
     "op7_decontamination": op7_decontamination,
+    "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
     "op10_sanitise": op10_sanitise,
 }
