@@ -85,8 +85,12 @@ def replace_column(batch: pa.RecordBatch, name: str, values) -> pa.RecordBatch:
     return batch.set_column(k, batch.schema.field(k), pa.array(values, batch.schema.field(k).type))
 
 
-def binary_array(chunks: list[bytes]) -> pa.Array:
-    return pa.array(chunks, pa.binary())
+def release_memory() -> None:
+    """Give memory that a block has used back to the system: Python workers live on between tasks."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 # --------------------------------------------------------------- components

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import crc_mod, id_and_text, materialise, row_chunks, sql_partitions, table_batch
+from tillroll.llm.common import crc_mod, id_and_text, materialise, release_memory, row_chunks, sql_partitions, table_batch
 from tillroll.llm.words import LOWER, split_words
 
 #: Mass K of the failure arc.
@@ -129,6 +129,9 @@ def _read_blocks(shards: int):
                     if i < j:
                         out.append((kind, block, s, _squeeze(np.diff(keys[i:j], prepend=np.uint64(0))), _squeeze(counts[i:j])))
                 yield table_batch(dict(zip(BLOCKS.names, zip(*out))), BLOCKS)
+                del out, keys, counts
+            del ids, offsets, hashes, train, rows, doc
+            release_memory()
     return step
 
 
@@ -142,6 +145,8 @@ def _add_up(pdf: pd.DataFrame) -> pd.DataFrame:
     n = len(answers)
     rows = {"kind": pdf["kind"].tolist() + [-int(pdf["kind"].iloc[0])], "block": pdf["block"].tolist() + [-1], "shard": pdf["shard"].tolist() + [0],
             "answer": [*answers, None], "total": [0] * n + [int(totals.sum())], "types": [0] * n + [int((totals > 0).sum())]}
+    del keys, distinct, which, totals, answers
+    release_memory()
     return pd.DataFrame(rows)
 
 
@@ -167,6 +172,8 @@ def _score(total: int, types: int, backoff: float):
                             "n_known": np.add.reduceat((c > 0).astype(np.int64), begins), "train_tokens": total,
                             "base_score": np.add.reduceat(np.log10(root), begins), "score": np.add.reduceat(np.log10(weight), begins)})
         out.loc[d["null"] > 0, "doc_id"] = pd.NA
+        del c, root, state, bigrams, arc, fail, weight, ids, known, count
+        release_memory()
         return out
     return step
 
