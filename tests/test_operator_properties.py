@@ -58,18 +58,22 @@ def test_masked_dense_rank_equals_window(spark, seed):
 @pytest.mark.parametrize("seed", SEEDS)
 def test_top_n_with_ties_brute_force(spark, seed):
     rng = random.Random(seed)
-    vals = [rng.choice(range(6)) for _ in range(25)]
+    vals = [rng.choice([None, *range(6)]) for _ in range(25)]
     df = spark.createDataFrame(list(enumerate(vals)), "id int, v int")
-    for n in (1, 2, 5):
-        nth = sorted(vals, reverse=True)[n - 1]
-        assert sorted(r.id for r in O.top_n_with_ties(df, "v", n).collect()) == \
-            [i for i, v in enumerate(vals) if v >= nth]
+    size = [-1 if v is None else v for v in vals]  # NULL is the smallest
+    for n in (1, 2, 5, 24, 30):
+        for down in (True, False):
+            nth = sorted(size, reverse=down)[min(n, len(size)) - 1]
+            assert sorted(r.id for r in O.top_n_with_ties(df, "v", n, down).collect()) == \
+                [i for i, v in enumerate(size) if (v >= nth if down else v <= nth)]
+    nulls = spark.createDataFrame([(1, None), (2, None)], "id int, v int")
+    assert O.top_n_with_ties(nulls, "v").count() == O.top_n_with_ties(nulls, "v", 1, False).count() == 2
 
 
 @pytest.mark.parametrize("seed", SEEDS)
 def test_most_frequent_equals_dense_rank(spark, seed):
     rng = random.Random(seed)
-    df = spark.createDataFrame(rand_rows(rng, 50, ["a", "b", "c"], range(4), null_rate=0.0), "k string, i int")
+    df = spark.createDataFrame(rand_rows(rng, 50, ["a", "b", "c"], range(4), null_rate=0.2), "k string, i int")
     df.createOrReplaceTempView("z_t")
     expected = spark.sql("""SELECT k, i FROM (SELECT k, i, DENSE_RANK() OVER (PARTITION BY k ORDER BY c DESC) r
                             FROM (SELECT k, i, COUNT(*) c FROM z_t GROUP BY k, i)) WHERE r = 1""")

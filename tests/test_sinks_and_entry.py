@@ -3,7 +3,13 @@
 import os
 import uuid
 
+from dataclasses import replace
+
+import pytest
+
 from tests import seed
+from tillroll.plans.registry import QUERIES
+from tillroll.sources import testdata
 from tillroll.plans import delivery as P
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources.sinks import append_rows, overwrite_table
@@ -48,4 +54,32 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle(spark):
     import __spark_entry__ as E
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
+
+
+def test_one_id_for_both_inserts(spark):
+    root, t = scratch(spark), seed.delivery(spark)
+    names, recipes = os.path.join(root, "names"), os.path.join(root, "recipes")
+    overwrite_table(t.pizza_names, names)
+    overwrite_table(t.pizza_recipes, recipes)
+    stored = replace(t, pizza_names=spark.read.parquet(names), pizza_recipes=spark.read.parquet(recipes))
+    new_names, new_recipes = P.e02_new_pizza(stored, "Supreme")
+    append_rows(new_names.filter("pizza_name = 'Supreme'"), names)
+    append_rows(new_recipes.join(stored.pizza_recipes.select("pizza_id"), "pizza_id", "left_anti"), recipes)
+    assert {r.pizza_id for r in spark.read.parquet(names).collect()} == {r.pizza_id for r in spark.read.parquet(recipes).collect()} == {1, 2, 3}
+
+
+def test_overwrite_refuses_its_own_input(spark):
+    path = os.path.join(scratch(spark), "names")
+    overwrite_table(seed.delivery(spark).pizza_names, path)
+    with pytest.raises(ValueError):
+        overwrite_table(spark.read.parquet(path).filter("pizza_id > 1"), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_appended_files_are_seen(spark):
+    root = scratch(spark)
+    spark.range(3).write.parquet(f"{root}/region.parquet")
+    assert testdata.read(spark, root, "region").count() == 3
+    spark.range(2).write.mode("append").parquet(f"{root}/region.parquet")
+    assert testdata.read(spark, root, "region").count() == 5

@@ -8,7 +8,6 @@ Sub-packages:
 * ``sources``   -- table adapters (testdata parquet -> loyalty/delivery tables),
   declared schemas and sinks.
 * ``plans``     -- one function per named query, a registry and the DuckDB oracle.
-* ``streaming`` -- the same plans driven incrementally from a file stream.
 """
 
 __version__ = "0.1.0"

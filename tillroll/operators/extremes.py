@@ -36,22 +36,29 @@ def rows_at_extreme(df: DataFrame, keys: Sequence[str], value: str, which: str =
 def top_n_with_ties(df: DataFrame, value: str, n: int = 1, descending: bool = True) -> DataFrame:
     """``TOP (n) WITH TIES ... ORDER BY value [DESC]``: the first n rows plus every row tied with the n-th.
 
-    The threshold (the n-th value) is a scalar subquery over a top-n
-    (TakeOrderedAndProject keeps n rows per partition), so no single task ever
-    sees more than n rows per input partition; the rows are then a plain filter.
+    NULL is the smallest value, as in the delivery dialect: last in descending
+    order, first in ascending order, and tied with other NULLs. The threshold
+    comes from a scalar subquery over a top-n (TakeOrderedAndProject keeps n
+    rows per partition), so no single task ever sees more than n rows per input
+    partition; the rows are then a plain filter.
     """
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    head = df.select(value).filter(F.col(value).isNotNull()).orderBy(order).limit(n)
-    threshold = head.agg((F.min if descending else F.max)(value)).scalar()
-    cond = F.col(value) >= threshold if descending else F.col(value) <= threshold
+    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
+    head = df.select(value).orderBy(order).limit(n)
+    nth = head.agg(F.struct((F.min if descending else F.max)(value).alias("value"),
+                            F.count(F.lit(1)).alias("rows"), F.count(value).alias("present"))).scalar()
+    if descending:  # a NULL among the first n: the n-th is NULL, which every row reaches
+        cond = (nth["present"] < nth["rows"]) | (F.col(value) >= nth["value"])
+    else:
+        cond = F.col(value).isNull() | (F.col(value) <= nth["value"])
     return df.filter(cond)
 
 
 def most_frequent_per_key(df: DataFrame, keys: Sequence[str], item: str, count_col: str = "cnt") -> DataFrame:
     """Per key, the item(s) with the highest row count (ties kept): ``keys, item, count_col``.
 
-    A hash aggregate (counts per (key, item), combined map-side) followed by
-    :func:`rows_at_extreme` over the counts.
+    A hash aggregate (counts per (key, item), combined map-side), then a rank
+    over the counts. As with ``PARTITION BY``, a NULL key is a group of its own.
     """
     counts = df.groupBy(*keys, item).agg(F.count(F.lit(1)).alias(count_col))
-    return rows_at_extreme(counts, keys, count_col, which="max")
+    w = Window.partitionBy(*keys).orderBy(F.col(count_col).desc())
+    return counts.withColumn("__rank", F.rank().over(w)).filter(F.col("__rank") == 1).drop("__rank")

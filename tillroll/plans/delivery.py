@@ -513,6 +513,14 @@ def _new_pizza_id(t: DeliveryTables, new_id: int | None) -> Column:
     return t.pizza_names.agg(F.max("pizza_id") + 1).scalar()
 
 
+def e02_new_pizza(t: DeliveryTables, name: str, new_id: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both inserts of a new pizza (names and recipes tables) under one id, which is read once, here:
+    writing the first table can't change the id of the second."""
+    if new_id is None:
+        new_id = (t.pizza_names.agg(F.max("pizza_id")).first()[0] or 0) + 1
+    return e02_new_pizza_name(t, name, new_id), e02_new_pizza_recipe(t, new_id)
+
+
 def e02_new_pizza_name(t: DeliveryTables, name: str, new_id: int | None = None) -> DataFrame:
     """The names table after inserting a pizza called ``name`` (id ``new_id`` or one above the largest)."""
     names = t.pizza_names

@@ -41,13 +41,15 @@ PLAN_SETTINGS = {
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a scratch one only if none is set.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as-is; the local fallback exists for tests and single-machine runs.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder; the
+    fallback is for ``local[N]`` only (tests and single-machine runs).
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -37,22 +37,9 @@ RUNNER_RATE_PER_KM = 0.30
 NEW_PIZZA_NAME = "Supreme"
 
 
-_SCANS: dict = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table as a DataFrame, created once per session and path.
-
-    Like a catalog table: the file listing and footer schema are resolved
-    once; every query still scans the files (nothing is cached in memory).
-    """
-    from tillroll.sources.layout import BUCKETED_DATABASE_CONF, bucketed_table
-    db = spark.conf.get(BUCKETED_DATABASE_CONF, None)
-    key = (id(spark), f"{sf_dir}/{name}.parquet", db)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _SCANS[key] = bucketed_table(spark, name) or spark.read.parquet(key[1])
-    return df
+    """The parquet table as it stands now: each call lists the files anew, so appended ones are seen."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- loyalty
@@ -103,20 +90,9 @@ class _LazyLoyalty(_Lazy):
                  "members": lambda s, d: members(s, d)}
 
 
-def _bundle(cls, spark, sf_dir):
-    # One bundle per session and folder: the adapter plans are built once and
-    # reused by every query, like temp views over the files.
-    from tillroll.sources.layout import BUCKETED_DATABASE_CONF
-    key = (cls.__name__, id(spark), sf_dir, spark.conf.get(BUCKETED_DATABASE_CONF, None))
-    b = _SCANS.get(key)
-    if b is None or b._spark is not spark:
-        b = _SCANS[key] = cls(spark, sf_dir)
-    return b
-
-
 def loyalty_tables(spark, sf_dir) -> LoyaltyTables:
     """A :class:`LoyaltyTables`-shaped bundle over the testdata (members built lazily)."""
-    return _bundle(_LazyLoyalty, spark, sf_dir)
+    return _LazyLoyalty(spark, sf_dir)
 
 
 # --------------------------------------------------------------- delivery
@@ -214,7 +190,7 @@ class _LazyDelivery(_Lazy):
 
 def delivery_tables(spark, sf_dir) -> DeliveryTables:
     """A :class:`DeliveryTables`-shaped bundle over the testdata (members built lazily)."""
-    return _bundle(_LazyDelivery, spark, sf_dir)
+    return _LazyDelivery(spark, sf_dir)
 
 
 # ------------------------------------------------------------ parameters
