@@ -76,7 +76,8 @@ def row_chunks(batches: Iterable[pa.RecordBatch], limit: int = 8 << 20) -> Itera
             if (size + n > limit or i == len(sizes)) and i > begin:
                 rows = batch.slice(begin, i - begin)
                 yield rows, [t or "" for t in rows.column("text").to_pylist()]
-                begin, size = i, 0
+                begin, size, rows = i, 0, None
+                release_memory()
             size += n
 
 

@@ -29,7 +29,7 @@ ODD_SPACE = re.compile(r" (?![!-~¡-ʯ])")
 CUT = re.compile(rf"(?<=[{LETTERS}])(?=[!-@\[-`{{-~])")
 #: A chunk that is one pre-token of letters.
 WORD = re.compile(rf"[{LETTERS}]+")
-MEMO_ITEMS = 800_000
+MEMO_ITEMS = 450_000
 
 _loaded: dict[str, "Encoder"] = {}
 
