@@ -40,7 +40,12 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
 
 
 # ------------------------------------------------------------------- inputs
+#: Rows are whole texts: batches of Spark's usual 10,000 rows would fill the Python workers' memory.
+BATCH_ROWS = 2500
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
