@@ -67,7 +67,7 @@ def main(argv):
     import __spark_entry__ as E
     from tillroll.session import get_session
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    keys = argv[1:] or list(E.queries())
+    keys = argv[1:] or list(E.oracle_sql())
     spark = get_session(shuffle_partitions=8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
