@@ -34,6 +34,8 @@ SHINGLE, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.999
 TREES, DEPTH = 24, 10
 #: Representatives of one side of a block that is verified at once.
 BLOCK = 256
+#: Bytes of text that a task turns into shingles at once.
+CHUNK_BYTES = 4 << 20
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -101,7 +103,7 @@ SETS = pa.schema([("doc_id", pa.int64()), ("fp", pa.string()), ("keys", pa.list_
 
 def _sets(depth: int, trees: int):
     def step(batches):
-        for rows, texts in row_chunks(batches):
+        for rows, texts in row_chunks(batches, CHUNK_BYTES):
             sets = shingle_sets(texts)
             full = [k for k, s in enumerate(sets) if len(s)]
             fp, keys, packed = [None] * len(sets), [None] * len(sets), [None] * len(sets)

@@ -25,9 +25,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import id_and_text, materialise, row_chunks, sql_partitions, table_batch
-from tillroll.llm.tokenise import encoder
+from tillroll.llm.tokenise import encoder, forget
 
 SIZE = 1024
+#: Bytes of text that a task tokenises at once.
+CHUNK_BYTES = 4 << 20
 #: The program stops at this relative distance from its lower bound, or after this many columns.
 GAP, COLUMNS = 0.002, 300
 
@@ -40,7 +42,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = SIZE) -> Da
     def step(batches):
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype)
-        for rows, texts in row_chunks(batches):
+        for rows, texts in row_chunks(batches, CHUNK_BYTES):
             out = {c: [] for c in schema.names}
             for i, x in zip(rows.column("doc_id").to_pylist(), enc.ids_of(texts)):
                 x = np.concatenate([x, end])
@@ -49,6 +51,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = SIZE) -> Da
                     for c, v in zip(schema.names, (i, at, len(cut), zlib.crc32(cut.astype("<u4").tobytes()), len(x), cut.tobytes())):
                         out[c].append(v)
             yield table_batch(out, schema)
+        del enc
+        forget()
 
     return id_and_text(docs).mapInArrow(step, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary")
 

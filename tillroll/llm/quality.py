@@ -34,6 +34,8 @@ from tillroll.llm.words import split_words
 BUCKETS, WIDTH, NONZERO, WINDOW = 1 << 14, 48, 4, 2
 SAMPLE, HIDDEN, EPOCHS, CUTOFF = 20_000, 32, 60, 0.7
 SHARDS = 16
+#: Bytes of text that a task turns into features at once.
+CHUNK_BYTES = 3 << 20
 LETTERS = re.compile(r"[^\W\d_]+")
 REPEATED = zlib.crc32(b"\x00repeated") % BUCKETS
 
@@ -74,7 +76,7 @@ def _accumulate(batches):
     """Context vectors of this task's documents, in SHARDS slices of buckets."""
     place, sign = index_vectors()
     total = np.zeros(BUCKETS * WIDTH)
-    for _, texts in row_chunks(batches):
+    for _, texts in row_chunks(batches, CHUNK_BYTES):
         word, shapes, offsets = features(texts)
         n = len(word)
         text = np.repeat(np.arange(len(texts)), np.diff(offsets))
@@ -120,7 +122,9 @@ def pool(texts: list[str], vectors: np.ndarray) -> np.ndarray:
     out = np.zeros((len(texts), 2 * WIDTH), np.float32)
     for k, stream in enumerate((word, shapes)):
         for i, (b, e) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-            if e > b:
+            if e - b > BUCKETS:  # a long text: its buckets' counts, not a vector for each token
+                out[i, k * WIDTH:(k + 1) * WIDTH] = np.bincount(stream[b:e], minlength=BUCKETS).astype(np.float32) @ vectors / n[i]
+            elif e > b:
                 out[i, k * WIDTH:(k + 1) * WIDTH] = vectors[stream[b:e]].sum(0) / n[i]
     return np.sign(out) * np.sqrt(np.abs(out))
 
@@ -181,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, vectors, sample: int = SAMPLE) -> Ne
     schema = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("x", pa.binary())])
 
     def step(batches):
-        for b, texts in row_chunks(batches):
+        for b, texts in row_chunks(batches, CHUNK_BYTES):
             yield table_batch({"doc_id": b.column("doc_id"), "quality": b.column("quality"),
                                "x": [r.tobytes() for r in pool(texts, vectors.value)]}, schema)
 
@@ -200,7 +204,7 @@ def score(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> DataFra
     docs = docs.drop("score", "predicted")
 
     def step(batches):
-        for rows, texts in row_chunks(batches):
+        for rows, texts in row_chunks(batches, CHUNK_BYTES):
             s = network.value.scores(pool(texts, vectors.value).astype(np.float64))
             yield rows.append_column("score", pa.array(s, pa.float64())).append_column("predicted", pa.array((s >= cutoff).astype(np.int32), pa.int32()))
 

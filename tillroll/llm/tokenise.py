@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tillroll.llm.common import release_memory
 from tillroll.llm.words import ragged
 
 #: Latin letters that lower-case one by one and that no normal form merges with ASCII.
@@ -124,3 +125,9 @@ def encoder(path: str) -> Encoder:
     if path not in _loaded:
         _loaded[path] = Encoder(path)
     return _loaded[path]
+
+
+def forget() -> None:
+    """Drop the encoders: a Python worker lives on, and the steps after need its memory."""
+    _loaded.clear()
+    release_memory()
