@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from tillroll.functions.temporal import (
     weekday_name, weekday_number,
 )
 from tillroll.functions.text import (
-    double_from_digits, has_value, int_from_digits, number_from_text, text_eq, text_ne, text_not_in,
+    as_col, double_from_digits, has_value, int_from_digits, number_from_text, text_eq, text_ne, text_not_in,
 )
 from tillroll.operators import (
     labelled_tokens, not_in, null_safe_join, pivot_counts, recipe_entries, token_frequency, top_n_with_ties,
@@ -37,7 +38,6 @@ from tillroll.operators import (
 )
 from tillroll.sources.tables import DeliveryTables
 
-ROUND = 6
 VARIANT = ["pizza_id", "exclusions", "extras"]
 
 
@@ -64,8 +64,9 @@ def _delivered_items(t: DeliveryTables, intended: bool = False, ro_cols: Sequenc
     return t.customer_orders.join(ro, "order_id")
 
 
-def _rounded(c: Column) -> Column:
-    return F.round(c.cast("double"), ROUND)
+def _km_decimal(c="distance") -> Column:
+    """Exact kilometres: sums of them don't depend on the order of the rows."""
+    return number_from_text(F.trim(as_col(c))).try_cast("decimal(24,10)")
 
 
 # ------------------------------------------------------------------ A
@@ -98,24 +99,18 @@ def a04_delivered_by_type(t: DeliveryTables) -> DataFrame:
 
 
 def a05a_by_customer_and_type(t: DeliveryTables) -> DataFrame:
-    pairs = t.customer_orders.groupBy("customer_id", "pizza_id").agg(F.count("pizza_id").alias("n"))
-    return (pairs.join(t.pizza_names, "pizza_id")
-                 .groupBy("customer_id", "pizza_name").agg(F.sum("n").alias("total_pizzas_ordered"))
+    return (t.customer_orders.join(t.pizza_names, "pizza_id")
+                 .groupBy("customer_id", "pizza_name").agg(F.count("pizza_id").alias("total_pizzas_ordered"))
                  .orderBy("customer_id", "pizza_name"))
 
 
 def a05b_by_customer_wide(t: DeliveryTables, pivot_col: str, values: Mapping) -> DataFrame:
-    """One column per pivot value. ``pivot_col`` may live on the items or on ``pizza_names``
-    (then items are pre-counted per pizza and left-joined, so unnamed pizzas still count as 0)."""
+    """One column per pivot value; other values of the column are not counted. ``pivot_col`` may live on
+    the items or on ``pizza_names`` (left-joined, so a customer of unnamed pizzas still shows, with 0)."""
     items = t.customer_orders
-    if pivot_col in items.columns:
-        out = pivot_counts(items, ["customer_id"], pivot_col, values)
-    else:
-        pairs = items.groupBy("customer_id", "pizza_id").agg(F.count(F.lit(1)).alias("n"))
-        named = pairs.join(t.pizza_names.select("pizza_id", pivot_col), "pizza_id", "left")
-        out = named.groupBy("customer_id").agg(*[
-            F.coalesce(F.sum(F.when(F.col(pivot_col) == F.lit(v), F.col("n"))), F.lit(0)).alias(name)
-            for v, name in values.items()])
+    if pivot_col not in items.columns:
+        items = items.join(t.pizza_names.select("pizza_id", pivot_col), "pizza_id", "left")
+    out = pivot_counts(items, ["customer_id"], pivot_col, values)
     return out.orderBy("customer_id")
 
 
@@ -208,7 +203,7 @@ def b02_pickup_minutes(t: DeliveryTables) -> DataFrame:
     times = t.customer_orders.select("order_id", "order_time").distinct()
     j = ro.join(times, "order_id", "left")
     mins = minute_boundaries(F.col("order_time"), parse_timestamp("pickup_time"))
-    return (j.groupBy("runner_id").agg(_rounded(F.avg(mins.cast("double"))).alias("average_pickup_time"))
+    return (j.groupBy("runner_id").agg(F.avg(mins.cast("double")).alias("average_pickup_time"))
              .orderBy("runner_id"))
 
 
@@ -225,7 +220,7 @@ def b03_prep_minutes_by_size(t: DeliveryTables) -> DataFrame:
                       .agg(F.sum("n").alias("pizza_count")))
     prep = minute_boundaries(F.col("order_time"), parse_timestamp("pickup_time"))
     return (per_order.groupBy("pizza_count")
-                     .agg(_rounded(F.avg(prep.cast("double"))).alias("average_preparation_time"))
+                     .agg(F.avg(prep.cast("double")).alias("average_preparation_time"))
                      .orderBy("pizza_count"))
 
 
@@ -235,7 +230,7 @@ def b04_distance_per_customer(t: DeliveryTables) -> DataFrame:
     j = items.join(_delivered(t).select("order_id", number_from_text("distance").alias("km")), "order_id")
     scaled = F.col("km") * F.lit(0.1)
     avg = (F.sum(scaled * F.col("n")) / F.sum(F.when(F.col("km").isNotNull(), F.col("n"))))
-    return (j.groupBy("customer_id").agg(_rounded(avg).alias("average_distance_km"))
+    return (j.groupBy("customer_id").agg(avg.cast("double").alias("average_distance_km"))
              .orderBy("customer_id"))
 
 
@@ -244,7 +239,7 @@ def b04_distance_per_customer_intended(t: DeliveryTables) -> DataFrame:
     orders = t.customer_orders.select("order_id", "customer_id").distinct()
     j = orders.join(_delivered(t, intended=True).select("order_id", number_from_text("distance").alias("km")),
                     "order_id")
-    return (j.groupBy("customer_id").agg(_rounded(F.avg("km")).alias("average_distance_km"))
+    return (j.groupBy("customer_id").agg(F.avg("km").alias("average_distance_km"))
              .orderBy("customer_id"))
 
 
@@ -258,7 +253,7 @@ def b06_speeds(t: DeliveryTables) -> DataFrame:
     mins = int_from_digits("duration")
     return (_delivered(t)
             .select("runner_id", "order_id", km.alias("distance_km"), mins.alias("delivery_time"),
-                    _rounded(F.try_divide(km, mins) * 60).alias("average_speed_kmh"))
+                    (F.try_divide(km, mins) * 60).cast("double").alias("average_speed_kmh"))
             .orderBy("runner_id", "order_id"))
 
 
@@ -268,7 +263,7 @@ def b07_success_rate(t: DeliveryTables) -> DataFrame:
              .agg(ok.alias("successful_deliveries"), F.count("order_id").alias("total_orders")))
     pct = F.try_divide(F.col("successful_deliveries").cast("double"), F.col("total_orders")) * 100
     return (stats.select("runner_id", "successful_deliveries", "total_orders",
-                         _rounded(pct).alias("successful_delivery_percentage"))
+                         pct.cast("double").alias("successful_delivery_percentage"))
                  .orderBy("runner_id"))
 
 
@@ -474,7 +469,7 @@ def _report(t: DeliveryTables, customer_from_orders: bool, intended: bool) -> Da
     return (g.select("customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time",
                      minute_boundaries(F.col("order_time"), parse_timestamp("pickup_time"))
                      .alias("time_between_order_and_pickup"),
-                     "duration", _rounded(speed).alias("average_speed_kmh"), "total_number_of_pizzas")
+                     "duration", speed.cast("double").alias("average_speed_kmh"), "total_number_of_pizzas")
              .orderBy("order_id", "customer_id"))
 
 
@@ -488,22 +483,24 @@ def d04_delivery_report_intended(t: DeliveryTables) -> DataFrame:
     return _report(t, customer_from_orders=True, intended=True)
 
 
+def _profit(revenue: Column, km: Column, rate: float) -> Column:
+    return (revenue - km.cast("decimal(30,10)") * F.lit(Decimal(str(rate)))).cast("double")
+
+
 def d05_profit(t: DeliveryTables, price_col: str, prices: Mapping, rate: float = 0.30) -> DataFrame:
-    """As written: the order's distance is paid once per item (join fan-out)."""
-    km = number_from_text(F.trim(F.col("distance")))
+    """As written: the order's distance is paid once per item (join fan-out). Money is summed in decimal."""
     per_pizza = (_delivered_items(t, ro_cols=["distance"]).groupBy("pizza_id")
-                 .agg(F.count(F.lit(1)).alias("n"), F.sum(km * F.lit(rate)).alias("pay")))
+                 .agg(F.count(F.lit(1)).alias("n"), F.sum(_km_decimal()).alias("km")))
     j = per_pizza.join(t.pizza_names, "pizza_id")
-    return j.agg(_rounded(F.sum(price_map(price_col, prices) * F.col("n")) - F.sum("pay")).alias("total_profit"))
+    return j.agg(_profit(F.sum(price_map(price_col, prices) * F.col("n")), F.sum("km"), rate).alias("total_profit"))
 
 
 def d05_profit_intended(t: DeliveryTables, price_col: str, prices: Mapping, rate: float = 0.30) -> DataFrame:
     """Revenue per item, distance paid once per delivered order (items aggregated to order grain first)."""
     priced = t.customer_orders.join(t.pizza_names, "pizza_id")
     per_order = priced.groupBy("order_id").agg(F.sum(price_map(price_col, prices)).alias("rev"))
-    km = number_from_text(F.trim(F.col("distance")))
-    j = per_order.join(_delivered(t, intended=True).select("order_id", km.alias("km")), "order_id")
-    return j.agg(_rounded(F.sum("rev") - F.sum(F.col("km") * F.lit(rate))).alias("total_profit"))
+    j = per_order.join(_delivered(t, intended=True).select("order_id", _km_decimal().alias("km")), "order_id")
+    return j.agg(_profit(F.sum("rev"), F.sum("km"), rate).alias("total_profit"))
 
 
 # ------------------------------------------------------------------ E

@@ -73,36 +73,42 @@ def l05_favourite_items(t: LoyaltyTables) -> DataFrame:
                .orderBy(*_pg_order("customer_id", "product_name")))
 
 
-def _member_purchases(t: LoyaltyTables, after: bool) -> DataFrame:
-    joined = t.sales.join(t.members.select("customer_id", "join_date"), "customer_id")
-    cond = F.col("order_date") >= F.col("join_date") if after else F.col("order_date") < F.col("join_date")
-    return joined.filter(cond).select("customer_id", "order_date", "product_id")
+def _dated(after: bool) -> Column:
+    return F.col("order_date") >= F.col("join_date") if after else F.col("order_date") < F.col("join_date")
+
+
+def _purchases_on_extreme_day(t: LoyaltyTables, after: bool, which: str) -> DataFrame:
+    """Purchases on each member's first or last day on one side of the join date. The day is found
+    among distinct (customer, day) rows; the purchases meet it by (customer, day), which spreads a
+    hot customer over its days."""
+    days = t.sales.select("customer_id", "order_date").distinct()
+    on_side = days.join(t.members.select("customer_id", "join_date"), "customer_id").filter(_dated(after))
+    day = rows_at_extreme(on_side.select("customer_id", "order_date"), ["customer_id"], "order_date", which)
+    return (t.sales.join(day, ["customer_id", "order_date"])
+                   .join(t.menu, "product_id")
+                   .select("customer_id", "product_id", "product_name", "order_date")
+                   .orderBy(*_pg_order("customer_id", "product_name")))
 
 
 def l06_first_after_joining(t: LoyaltyTables) -> DataFrame:
     """First item(s) bought on or after the join date."""
-    first = rows_at_extreme(_member_purchases(t, after=True), ["customer_id"], "order_date", "min")
-    return (first.join(t.menu, "product_id")
-                 .select("customer_id", "product_id", "product_name", "order_date")
-                 .orderBy(*_pg_order("customer_id", "product_name")))
+    return _purchases_on_extreme_day(t, after=True, which="min")
 
 
 def l07_last_before_joining(t: LoyaltyTables) -> DataFrame:
     """Last item(s) bought strictly before the join date."""
-    last = rows_at_extreme(_member_purchases(t, after=False), ["customer_id"], "order_date", "max")
-    return (last.join(t.menu, "product_id")
-                .select("customer_id", "product_id", "product_name", "order_date")
-                .orderBy(*_pg_order("customer_id", "product_name")))
+    return _purchases_on_extreme_day(t, after=False, which="max")
 
 
 def l08_before_joining_totals(t: LoyaltyTables) -> DataFrame:
-    """Items and spend per member before joining."""
-    pairs = _pair_counts(_member_purchases(t, after=False), ["customer_id", "product_id"])
-    return (pairs.join(t.menu, "product_id")
-                 .groupBy("customer_id")
-                 .agg(F.sum("n").alias("total_items"),
-                      F.sum(F.col("price") * F.col("n")).alias("total_amount_spent"))
-                 .orderBy(*_pg_order("customer_id")))
+    """Items and spend per member before joining (purchases reduced to day counts before the join)."""
+    days = _pair_counts(t.sales, ["customer_id", "product_id", "order_date"])
+    before = days.join(t.members.select("customer_id", "join_date"), "customer_id").filter(_dated(after=False))
+    return (before.join(t.menu, "product_id")
+                  .groupBy("customer_id")
+                  .agg(F.sum("n").alias("total_items"),
+                       F.sum(F.col("price") * F.col("n")).alias("total_amount_spent"))
+                  .orderBy(*_pg_order("customer_id")))
 
 
 def l09_points(t: LoyaltyTables, featured: Column) -> DataFrame:

@@ -4,8 +4,9 @@ Keys follow the inventory: L01-L12 (loyalty), A01-D05 (delivery, as written),
 ``*_intended`` (the question's meaning where the source SQL has a defect),
 D03 / E02_* (the frames the two write tasks write).
 
-Outputs are normalised at this boundary only: DECIMAL -> DOUBLE and 8/16/32-bit
-integers -> BIGINT, so the same query compares equal to the SQL oracle.
+Outputs are normalised at this boundary only: DECIMAL -> DOUBLE, doubles to six
+decimals and 8/16/32-bit integers -> BIGINT, so the same query compares equal to
+the SQL oracle.
 """
 
 from __future__ import annotations
@@ -21,14 +22,18 @@ from tillroll.plans import loyalty as L
 from tillroll.sources import testdata as TD
 
 Query = Callable[[SparkSession, str], DataFrame]
+DECIMALS = 6
+#: Parameters of the two forms that name customers and pizzas.
+LISTED_CUSTOMERS = tuple(range(1, 11))
+PIVOT_PIZZAS = {1: "pizza_1", 2: "pizza_2"}
 
 
 def normalise(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
+        if isinstance(f.dataType, (T.DecimalType, T.DoubleType)):
+            c = F.round(c.cast("double"), DECIMALS)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))
@@ -61,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "L08": _loyalty(lambda t, p: L.l08_before_joining_totals(t)),
     "L09": _loyalty(lambda t, p: L.l09_points(t, p.featured)),
     "L10": _loyalty(lambda t, p: L.l10_points_first_week(t, p.featured, p.cutoff, p.customers)),
+    "L10_customers": _loyalty(lambda t, p: L.l10_points_first_week(t, p.featured, p.cutoff, LISTED_CUSTOMERS)),
     "L11": _loyalty(lambda t, p: L.l11_member_timeline(t)),
     "L12": _loyalty(lambda t, p: L.l12_member_ranking(t)),
     # delivery: pizza metrics
@@ -70,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "A04": _delivery(lambda t, p: P.a04_delivered_by_type(t)),
     "A05a": _delivery(lambda t, p: P.a05a_by_customer_and_type(t)),
     "A05b": _delivery(lambda t, p: P.a05b_by_customer_wide(t, p.pivot_col, p.pivot_values)),
+    "A05b_items": _delivery(lambda t, p: P.a05b_by_customer_wide(t, "pizza_id", PIVOT_PIZZAS)),
     "A06a": _delivery(lambda t, p: P.a06a_largest_order(t)),
     "A06b": _delivery(lambda t, p: P.a06b_largest_orders_with_ties(t)),
     "A07": _delivery(lambda t, p: P.a07_changes_per_customer(t)),
