@@ -11,7 +11,7 @@ from tillroll.operators.joins import null_safe_join
 
 
 def masked_dense_rank(df: DataFrame, partition: Sequence[str], order: str, mask: Column,
-                      out: str = "ranks") -> DataFrame:
+                      out: str = "ranks", few_rows: bool = False) -> DataFrame:
     """Add ``out`` = DENSE_RANK() OVER (PARTITION BY partition ORDER BY order) over the rows where
     ``mask`` holds; NULL elsewhere.
 
@@ -20,8 +20,12 @@ def masked_dense_rank(df: DataFrame, partition: Sequence[str], order: str, mask:
     over the rows: a window group then holds at most one row per distinct
     order value (e.g. one per calendar day), whatever the number of purchases.
     The ranks are joined back on (partition, order) -- an equi-join that spreads
-    a hot partition over its order values.
+    a hot partition over its order values. ``few_rows``: the rows are already
+    that few per partition, so they are ranked in place without the join.
     """
+    if few_rows:
+        masked = Window.partitionBy(*partition, F.coalesce(mask, F.lit(False))).orderBy(F.col(order).asc_nulls_first())
+        return df.withColumn(out, F.when(mask, F.dense_rank().over(masked).cast("bigint")))
     keys = [*partition, order]
     flagged = df.withColumn("__m", F.coalesce(mask, F.lit(False)))
     distinct_keys = flagged.filter(F.col("__m")).select(*keys).distinct()

@@ -197,10 +197,13 @@ def b02_pickup_minutes(t: DeliveryTables) -> DataFrame:
     """Mean minutes (boundary count) from order to pickup per runner, one row per order.
 
     DISTINCT over a join of two projections equals the join of the two
-    de-duplicated projections, so both sides are reduced before the join.
+    de-duplicated projections. Both sides are reduced to sets per order, so
+    each is shuffled once, by the key that they then join on.
     """
-    ro = _delivered(t).select("order_id", "runner_id", "pickup_time").distinct()
-    times = t.customer_orders.select("order_id", "order_time").distinct()
+    ro = (_delivered(t).groupBy("order_id").agg(F.collect_set(F.struct("runner_id", "pickup_time")).alias("__r"))
+          .select("order_id", F.inline("__r")))
+    times = (t.customer_orders.groupBy("order_id").agg(F.collect_set("order_time").alias("__t"))
+             .select("order_id", F.explode("__t").alias("order_time")))
     j = ro.join(times, "order_id", "left")
     mins = minute_boundaries(F.col("order_time"), parse_timestamp("pickup_time"))
     return (j.groupBy("runner_id").agg(F.avg(mins.cast("double")).alias("average_pickup_time"))
@@ -510,32 +513,44 @@ def _new_pizza_id(t: DeliveryTables, new_id: int | None) -> Column:
     return t.pizza_names.agg(F.max("pizza_id") + 1).scalar()
 
 
+def next_pizza_id(t: DeliveryTables) -> int:
+    """One above the largest id of the names table."""
+    return (t.pizza_names.agg(F.max("pizza_id")).first()[0] or 0) + 1
+
+
 def e02_new_pizza(t: DeliveryTables, name: str, new_id: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Both inserts of a new pizza (names and recipes tables) under one id, which is read once, here:
     writing the first table can't change the id of the second."""
-    if new_id is None:
-        new_id = (t.pizza_names.agg(F.max("pizza_id")).first()[0] or 0) + 1
+    new_id = next_pizza_id(t) if new_id is None else new_id
     return e02_new_pizza_name(t, name, new_id), e02_new_pizza_recipe(t, new_id)
 
 
 def e02_new_pizza_name(t: DeliveryTables, name: str, new_id: int | None = None) -> DataFrame:
     """The names table after inserting a pizza called ``name`` (id ``new_id`` or one above the largest)."""
+    return t.pizza_names.unionByName(e02_name_row(t, name, new_id))
+
+
+def e02_name_row(t: DeliveryTables, name: str, new_id: int | None = None) -> DataFrame:
+    """The row that the names table gains."""
     names = t.pizza_names
     pid = F.max("pizza_id") + 1 if new_id is None else F.lit(new_id)
     row = names.agg(pid.cast(names.schema["pizza_id"].dataType).alias("pizza_id"))
-    row = row.select("pizza_id", F.lit(name).alias("pizza_name"),
-                     *[F.lit(None).cast(f.dataType).alias(f.name) for f in names.schema.fields
-                       if f.name not in ("pizza_id", "pizza_name")])
-    return names.unionByName(row)
+    return row.select("pizza_id", F.lit(name).alias("pizza_name"),
+                      *[F.lit(None).cast(f.dataType).alias(f.name) for f in names.schema.fields
+                        if f.name not in ("pizza_id", "pizza_name")])
 
 
 def e02_new_pizza_recipe(t: DeliveryTables, new_id: int | None = None) -> DataFrame:
-    """The recipes table after inserting the new pizza with every topping ('1,2,...' by id).
+    """The recipes table after inserting the new pizza with every topping ('1,2,...' by id)."""
+    return t.pizza_recipes.select("pizza_id", "toppings").unionByName(e02_recipe_row(t, new_id))
+
+
+def e02_recipe_row(t: DeliveryTables, new_id: int | None = None) -> DataFrame:
+    """The row that the recipes table gains.
 
     The new list is one group over the toppings dimension, a fixed-size table
     (12 toppings in the case study, the 25 nations in the testdata).
     """
     every = t.pizza_toppings.agg(
         ordered_concat(F.col("topping_id").cast("string"), F.col("topping_id"), sep=",").alias("toppings"))
-    row = every.select(_new_pizza_id(t, new_id).alias("pizza_id"), "toppings")
-    return t.pizza_recipes.select("pizza_id", "toppings").unionByName(row)
+    return every.select(_new_pizza_id(t, new_id).alias("pizza_id"), "toppings")

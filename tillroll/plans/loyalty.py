@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import points
-from tillroll.operators import attach_membership, masked_dense_rank, most_frequent_per_key, rows_at_extreme
+from tillroll.operators import (
+    attach_membership, masked_dense_rank, most_frequent_per_key, null_safe_join, rows_at_extreme,
+)
 from tillroll.sources.tables import LoyaltyTables
 
 
@@ -145,8 +147,16 @@ def l11_member_timeline(t: LoyaltyTables) -> DataFrame:
 
 
 def l12_member_ranking(t: LoyaltyTables) -> DataFrame:
-    """L11 plus a dense rank of purchase days among member purchases (NULL for non-member rows)."""
-    ranked = masked_dense_rank(_timeline(t), ["customer_id", "member"], "order_date",
-                               F.col("member") == "YES", out="ranks")
-    return (ranked.select("customer_id", "order_date", "product_name", "price", "member", "ranks")
+    """L11 plus a dense rank of purchase days among member purchases (NULL for non-member rows).
+
+    Membership and rank belong to the (customer, day): they are found among those, and the purchases
+    meet them by both, so a hot customer is spread over its days and members join once.
+    """
+    sales = t.sales.join(t.menu, "product_id")
+    days = attach_membership(sales.select("customer_id", "order_date").distinct(), t.members)
+    days = days.select("customer_id", "order_date",
+                       F.when(F.col("is_member"), F.lit("YES")).otherwise(F.lit("NO")).alias("member"))
+    ranked = masked_dense_rank(days, ["customer_id", "member"], "order_date", F.col("member") == "YES", few_rows=True)
+    return (null_safe_join(sales, ranked, ["customer_id", "order_date"])
+                  .select("customer_id", "order_date", "product_name", "price", "member", "ranks")
                   .orderBy(*_pg_order("customer_id", "order_date", "product_name")))

@@ -2,7 +2,7 @@
 
 Keys follow the inventory: L01-L12 (loyalty), A01-D05 (delivery, as written),
 ``*_intended`` (the question's meaning where the source SQL has a defect),
-D03 / E02_* (the frames the two write tasks write).
+D03 / E02_* (the write tasks: tables written under ``spark.checkpoint.dir`` and read back).
 
 Outputs are normalised at this boundary only: DECIMAL -> DOUBLE, doubles to six
 decimals and 8/16/32-bit integers -> BIGINT, so the same query compares equal to
@@ -11,6 +11,7 @@ the SQL oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,9 @@ from pyspark.sql import types as T
 
 from tillroll.plans import delivery as P
 from tillroll.plans import loyalty as L
+from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import testdata as TD
+from tillroll.sources.sinks import append_rows, overwrite_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 DECIMALS = 6
@@ -54,6 +57,26 @@ def _delivery(fn: Callable) -> Query:
     return run
 
 
+def _stored(table: Callable, rows: Callable | None = None) -> Query:
+    """Recreate the table of ``table`` in the shared folder, insert ``rows`` and read it back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t, p = TD.delivery_tables(spark, sf_dir), TD.delivery_params()
+        base = table(t)
+        path = overwrite_table(base, f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}")
+        if rows is not None:
+            # The columns are named, as in INSERT: a longer value of theirs must not change the table's types.
+            new = rows(t, p)
+            append_rows(new.select(*[F.col(f.name).cast(f.dataType) for f in base.schema.fields]), path)
+        return normalise(spark.read.schema(base.schema).parquet(path))
+    run.__doc__ = table.__doc__
+    return run
+
+
+def _both_ids(t, p) -> int:
+    """One id for both inserts of E02."""
+    return p.new_pizza_id if p.new_pizza_id is not None else P.next_pizza_id(t)
+
+
 QUERIES: dict[str, Query] = {
     # loyalty
     "L01": _loyalty(lambda t, p: L.l01_total_spend(t)),
@@ -109,14 +132,16 @@ QUERIES: dict[str, Query] = {
     "D02": _delivery(lambda t, p: P.d02_revenue_with_extras(t, p.price_col, p.prices, p.extra_fee)),
     "D02_intended": _delivery(lambda t, p: P.d02_revenue_with_extras_intended(t, p.price_col, p.prices,
                                                                               p.extra_fee)),
-    "D03": _delivery(lambda t, p: P.d03_ratings(t)),
+    "D03": _stored(P.d03_ratings),
     "D04": _delivery(lambda t, p: P.d04_delivery_report(t)),
     "D04_intended": _delivery(lambda t, p: P.d04_delivery_report_intended(t)),
     "D05": _delivery(lambda t, p: P.d05_profit(t, p.price_col, p.prices, p.rate_per_km)),
     "D05_intended": _delivery(lambda t, p: P.d05_profit_intended(t, p.price_col, p.prices, p.rate_per_km)),
     # bonus: insert a pizza with every topping
-    "E02_names": _delivery(lambda t, p: P.e02_new_pizza_name(t, p.new_pizza_name, p.new_pizza_id)),
-    "E02_recipes": _delivery(lambda t, p: P.e02_new_pizza_recipe(t, p.new_pizza_id)),
+    "E02_names": _stored(lambda t: t.pizza_names,
+                         lambda t, p: P.e02_name_row(t, p.new_pizza_name, _both_ids(t, p))),
+    "E02_recipes": _stored(lambda t: t.pizza_recipes.select("pizza_id", "toppings"),
+                           lambda t, p: P.e02_recipe_row(t, _both_ids(t, p))),
 }
 
 FLAGSHIP = "L12"
