@@ -51,8 +51,9 @@ def test_masked_dense_rank_equals_window(spark, seed):
     df.createOrReplaceTempView("y_t")
     expected = spark.sql("""SELECT k, d, m, CASE WHEN m THEN CAST(DENSE_RANK() OVER (PARTITION BY k, m ORDER BY d) AS BIGINT)
                             END AS ranks FROM y_t""")
-    got = O.masked_dense_rank(df, ["k", "m"], "d", F.col("m"), out="ranks").select("k", "d", "m", "ranks")
-    assert bag(got) == bag(expected)
+    for few_rows in (False, True):
+        got = O.masked_dense_rank(df, ["k", "m"], "d", F.col("m"), few_rows=few_rows).select("k", "d", "m", "ranks")
+        assert bag(got) == bag(expected)
 
 
 @pytest.mark.parametrize("seed", SEEDS)

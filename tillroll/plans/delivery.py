@@ -309,24 +309,30 @@ def c04_order_item_labels(t: DeliveryTables) -> DataFrame:
 def c04_order_item_labels_intended(t: DeliveryTables) -> DataFrame:
     """Same labels with topping names instead of ids (in list order).
 
-    The id->name rendering runs once per distinct list text and is joined back.
+    The id->name rendering runs once per distinct list text, the label's end once per distinct pair of
+    lists; the items meet it in one join. Items without a list (most of them) are spread over that join
+    by their order, as they match nothing.
     """
     co = t.customer_orders
-    # both list columns in one pass over the items
-    texts = (co.select(F.explode(F.array("exclusions", "extras")).alias("txt"))
-               .filter(has_value("txt")).distinct())
+    lists = [F.when(has_value(c), F.col(c)).alias(c) for c in ("exclusions", "extras")]
+    any_list = F.col("exclusions").isNotNull() | F.col("extras").isNotNull()
+    pairs = co.select(*lists).filter(any_list).distinct()
+    texts = pairs.select(F.explode(F.array("exclusions", "extras")).alias("txt")).filter("txt is not null")
     labels = labelled_tokens(texts, "txt", t.pizza_toppings)
     ex = labels.select(F.col("txt").alias("exclusions"), F.col("label").alias("ex_label"))
     xt = labels.select(F.col("txt").alias("extras"), F.col("label").alias("xt_label"))
-    j = (co.join(t.pizza_names, "pizza_id")
-           .join(ex, "exclusions", "left").join(xt, "extras", "left"))
-    label = F.concat(
-        F.col("pizza_name"),
-        F.when(has_value("exclusions"), F.concat(F.lit(" - Exclude "), F.coalesce("ex_label", F.lit(""))))
-         .otherwise(F.lit("")),
-        F.when(has_value("extras"), F.concat(F.lit(" - Extra "), F.coalesce("xt_label", F.lit(""))))
-         .otherwise(F.lit("")))
-    return j.select("order_id", label.alias("order_item")).orderBy("order_id", "order_item")
+
+    def part(c: str, word: str, label: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.concat(F.lit(word), F.coalesce(label, F.lit("")))).otherwise(F.lit(""))
+
+    ends = pairs.join(ex, "exclusions", "left").join(xt, "extras", "left").select(
+        "exclusions", "extras", F.lit(None).cast("string").alias("spread"),
+        F.concat(part("exclusions", " - Exclude ", "ex_label"), part("extras", " - Extra ", "xt_label")).alias("end"))
+    items = co.join(t.pizza_names, "pizza_id").select("order_id", "pizza_name", *lists)
+    items = items.withColumn("spread", F.when(~any_list, F.coalesce(F.col("order_id").cast("string"), F.lit(""))))
+    j = null_safe_join(items, ends, ["exclusions", "extras", "spread"], "left")
+    return (j.select("order_id", F.concat("pizza_name", F.coalesce("end", F.lit(""))).alias("order_item"))
+             .orderBy("order_id", "order_item"))
 
 
 def c05_ingredient_lists(t: DeliveryTables) -> DataFrame:
