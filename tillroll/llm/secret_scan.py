@@ -1,9 +1,10 @@
 """Secret scan with a random forest that removes false positives, in DataFrame functions only.
 
-Candidates are long tokens with a digit. Their features: length, shares of
-character classes, class changes, how usual their letter pairs are in the
-corpus's words, how much of them dictionary words cover, how path-like they
-are, and the words before them. A random forest is trained from labelled
+Candidates are known key formats (also inside a longer token), values assigned
+to a key word or in a URL's password place (of any length and characters), and
+long tokens with a digit. Their features: length, shares of character classes,
+class changes, how usual their letter pairs are in the corpus's words, how much
+of them dictionary words cover, how path-like they are, and the words before them. A random forest is trained from labelled
 findings; without such a table, findings that a known key format or an
 assignment to a key word (secrets), or a plain number, an identifier format or
 a checksum word (no secrets) decides are the labels. The forest judges all
@@ -12,9 +13,14 @@ but known key formats, which are secrets in any case.
 The dictionary and letter pairs are counted over the words of all documents.
 The forest is fitted on at most ``SAMPLE`` labelled findings, by a hash.
 
+An unquoted value ends at white space, at the next assignment of a list or
+query, or at a closing tag, and closing punctuation is not part of it.
+
 Cases: null and empty texts have no candidates; a value that occurs more than
 once in a text is one candidate, judged at its first place; labels of one kind
 only, or none, leave the label rules in force; repeated rows are judged alike.
+A secret goes everywhere in its text, one of under 16 characters as a whole
+word; dictionary words and values of under 4 characters go where they are assigned.
 """
 
 from __future__ import annotations
@@ -30,20 +36,54 @@ from tillroll.llm.common import id_and_text, materialise
 SAMPLE, TREES, DEPTH, CUTOFF = 20_000, 20, 6, 0.5
 #: A dictionary word occurs at least this often.
 DICTIONARY_COUNT = 5
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+LONG_TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
 #: Fixed formats of public key kinds, and words that go before secrets and before other tokens.
-KEY_FORMAT = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^sk_live_[A-Za-z0-9]{24,}$|^xox[abp]-[A-Za-z0-9-]{20,}$|^AIza[A-Za-z0-9_-]{35}$"
+KEY_FORMAT = (r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])|sk_live_[A-Za-z0-9]{24,}+"
+              r"|xox[abp]-[A-Za-z0-9-]{20,}+|AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-]))"
+              r"|-----BEGIN (?:[A-Z0-9]++ )*?PRIVATE KEY(?: BLOCK)?-----(?:(?:\s|\\[rn])*+[A-Za-z-]++: [^\n]*+\n)*+(?:(?:\s|\\[rn])*+[A-Za-z0-9+/=]{16,}+)*+"
+              r"(?:(?:\s|\\[rn])*+(?:[A-Za-z0-9+/=]++(?:\s|\\[rn])++)?-----END (?:[A-Z0-9]++ )*?PRIVATE KEY(?: BLOCK)?-----)?")
 KEY_WORD = r"(?i)(secret|token|passwd|password|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential)"
 OTHER_WORD = r"(?i)(commit|sha-?[0-9]*|md5|hash|checksum|digest|uuid|version|isbn|card|invoice|order|build|revision)\W*$"
 IDENTIFIER = r"(?i)^[0-9_+/-]+$|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^[0-9]{4}-[0-9]{2}-[0-9]{2}.*$"
+#: What goes before an assigned value.
+ASSIGN = (r"(?i:(?:secret(?!ar)|token(?!i[sz])|passwd|password|pwd|api[_-]?key|access[_-]?key|auth(?!ors?(?![a-z]))|bearer|credential)[\w-]*+"
+          r"\\?[\"']?(?:\s*+(?::=|=>|={1,3}|:)\s*+|>)(?:(?:bearer|basic|token)\s++)?)")
+#: The value, in quotes or as the docstring says; a key that follows is none.
+VALUE = f"(?![\"']?{ASSIGN}|[\"']?[\\w-]++[\"']?:\\s)" + r"(?:\"[^\"\r\n]++\"|'[^'\r\n]++'|(?:(?!&[\w.-]+=|[,;]\s*+[\"']?[\w-]+[\"']?\s*+[:=]|</)\S)++)"
+#: A URL up to its password.
+URL = r"://[^\s/:@]*+:"
 FEATURES = ["length", "digits", "uppers", "lowers", "hex", "changes", "pair_log", "covered", "path", "assigned", "key_word", "other_word", "quoted", "known_format"]
 
 
+def assigned_value(match):
+    """(value, before, assigned) of an assignment."""
+    prefix = F.regexp_extract(match, "^" + ASSIGN, 0)
+    rest = F.substring(match, F.length(prefix) + 1, F.length(match))
+    closed = rest.rlike("^(\"[^\"]*\"|'[^']*')$")
+    value = F.when(closed, F.substring(rest, F.lit(2), F.length(rest) - 2)).otherwise(F.ltrim(F.rtrim(rest, F.lit("\\\"'`)]}>,;.")), F.lit("\\\"'`")))
+    return F.struct(value.alias("value"), F.concat(prefix, F.regexp_extract(rest, "^[\\\\\"']*", 0)).alias("before"), F.lit(True).alias("assigned"))
+
+
+def url_password(match):
+    prefix = F.regexp_extract(match, "^" + URL, 0)
+    return F.struct(F.substring(match, F.length(prefix) + 1, F.length(match) - F.length(prefix) - 1).alias("value"), prefix.alias("before"), F.lit(True).alias("assigned"))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, row, found (distinct candidates), text (of rows with candidates); written to the shared folder."""
+    """row, doc_id, found (distinct values with the text before them and whether they are assigned); written to the shared folder."""
     rows = id_and_text(docs)
-    found = F.array_distinct(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
-    rows = rows.withColumn("found", found).withColumn("text", F.when(F.size("found") > 0, F.col("text")))
+    text = F.col("text")
+    def at_first_place(value):
+        place = F.instr(text, value)
+        before = F.when(place > 1, F.substring(text, F.greatest(F.lit(1), place - 48), F.least(F.lit(48), place - 1))).otherwise("")
+        return F.struct(value.alias("value"), before.alias("before"), F.lit(False).alias("assigned"))
+
+    def every(pattern):
+        return F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
+
+    found = F.concat(F.transform(every(ASSIGN + VALUE), assigned_value), F.transform(every(URL + r"[^\s/]+@"), url_password),
+                     F.transform(F.array_union(every(KEY_FORMAT), every(LONG_TOKEN)), at_first_place))
+    rows = rows.select("doc_id", F.filter(found, lambda x: x.value != "").alias("found"))
     return materialise(rows.withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
 
 
@@ -64,10 +104,9 @@ def letter_pairs(words: DataFrame) -> DataFrame:
 
 def features(found: DataFrame, docs: DataFrame) -> DataFrame:
     """row, doc_id, value and FEATURES of every candidate."""
-    at = found.filter("text is not null").select("row", "doc_id", "text", F.explode("found").alias("value"))
-    place = F.instr(F.col("text"), F.col("value"))
-    before = F.when(place > 1, F.expr("substring(text, greatest(1, instr(text, value) - 48), least(48, instr(text, value) - 1))")).otherwise("")
-    at = materialise(at.select("row", "doc_id", "value", before.alias("before")), "secret-findings")
+    at = found.select("row", "doc_id", F.explode("found").alias("f")).select("row", "doc_id", "f.*") \
+        .groupBy("row", "doc_id", "value").agg(F.max_by("before", F.struct("assigned", "before")).alias("before"), F.max("assigned").alias("named"))
+    at = materialise(at, "secret-findings")
     v, n = F.col("value"), F.length("value")
     share = lambda p: F.regexp_count("value", F.lit(p)) / n
     assigned = F.col("before").rlike(KEY_WORD.replace("(?i)", "(?i)\\b\\w*") + r"\w*[\"']?\s*(:|=|:=|=>)\s*[\"']?$")
@@ -76,13 +115,13 @@ def features(found: DataFrame, docs: DataFrame) -> DataFrame:
         "hex": v.rlike("^([0-9a-f]+|[0-9A-F]+)$").cast("double"),
         "changes": share("(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"),
         "path": (F.regexp_count("value", F.lit("/")) + F.col("before").rlike(r"[./~\\]$").cast("int")).cast("double"),
-        "assigned": assigned.cast("double"), "key_word": F.col("before").rlike(KEY_WORD).cast("double"),
+        "assigned": (assigned | F.col("named")).cast("double"), "key_word": F.col("before").rlike(KEY_WORD).cast("double"),
         "other_word": F.col("before").rlike(OTHER_WORD).cast("double"), "quoted": F.col("before").rlike("[\"']$").cast("double"),
-        "known_format": v.rlike(KEY_FORMAT).cast("double")})
+        "known_format": v.rlike(f"^(?:{KEY_FORMAT})$").cast("double")})
     words = materialise(corpus_words(docs), "secret-dictionary")
     # Letter pairs and letter runs of each distinct value, once.
     values = at.select("value").distinct()
-    pair = values.select("value", F.explode(F.sequence(F.lit(1), F.length("value") - 1)).alias("k")).select("value", F.lower(F.expr("substring(value, k, 2)")).alias("pair"))
+    pair = values.filter(F.length("value") > 1).select("value", F.explode(F.sequence(F.lit(1), F.length("value") - 1)).alias("k")).select("value", F.lower(F.expr("substring(value, k, 2)")).alias("pair"))
     usual = pair.filter(F.col("pair").rlike("^[a-z]{2}$")).join(F.broadcast(letter_pairs(words)), "pair", "left") \
         .groupBy("value").agg(F.avg(F.coalesce("pair_log", F.lit(-12.0))).alias("pair_log"))
     runs = values.select("value", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
@@ -93,7 +132,9 @@ def features(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 def rule_labels(findings: DataFrame) -> DataFrame:
     """The findings with ``label``: 1 secret, 0 none, null where no rule decides."""
-    yes = (F.col("known_format") == 1) | ((F.col("assigned") == 1) & ~F.col("value").rlike(IDENTIFIER))
+    # Without quotes, words of the corpus and expressions of code may stand after a key word, too.
+    plain = (F.col("quoted") == 0) & ((F.col("covered") >= 0.6) | F.col("value").rlike(r"[(\[{$]")) & ~F.col("before").rlike(URL + "$")
+    yes = (F.col("known_format") == 1) | ((F.col("assigned") == 1) & ~F.col("value").rlike(IDENTIFIER) & ~plain)
     no = F.col("value").rlike(IDENTIFIER) | (F.col("other_word") == 1) | (F.col("covered") >= 0.6) | (F.col("path") >= 3)
     return findings.withColumn("label", F.when(yes, 1.0).when(no, 0.0))
 
@@ -123,7 +164,7 @@ def report(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     found, judged = judge(docs, labelled)
     per_row = judged.groupBy("row").agg(F.count_if("secret").alias("n_secrets"), F.max("score").alias("top_score"),
                                         F.array_sort(F.collect_list(F.when(F.col("secret"), F.col("value")))).alias("values"))
-    return found.select("row", "doc_id", F.size("found").cast("bigint").alias("n_candidates")).join(per_row, "row", "left").select(
+    return found.select("row", "doc_id", F.size(F.array_distinct("found.value")).cast("bigint").alias("n_candidates")).join(per_row, "row", "left").select(
         "doc_id", "n_candidates", F.coalesce("n_secrets", F.lit(0)).alias("n_secrets"),
         F.sha2(F.coalesce(F.concat_ws(",", "values"), F.lit("")).cast("binary"), 256).alias("secrets_sha256"), F.coalesce("top_score", F.lit(0.0)).alias("top_score"))
 
@@ -131,10 +172,16 @@ def report(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """``docs`` with the values judged secret replaced by [SECRET]; n_chars, if there, follows."""
     _, judged = judge(docs, labelled)
-    secrets = judged.filter("secret").groupBy(F.col("doc_id").alias("__id")).agg(
-        F.array_sort(F.collect_set("value"), lambda a, b: F.length(b) - F.length(a)).alias("__secrets"))  # longest first
+    v = F.col("value")
+    # Quoted for Java, a value that holds \E too.
+    exact = F.concat(F.lit("\\Q"), F.replace(v, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    common = (F.length(v) < 4) | ((F.col("covered") >= 1) & v.rlike("^[A-Za-z]+$") & (F.length(v) < 16))
+    pattern = F.when(common, F.concat(F.lit(f"((?:{ASSIGN}\\\\?[\"']?|{URL}))"), exact, F.lit("(?![A-Za-z0-9])"))) \
+        .when(F.length(v) < 16, F.concat(F.lit("()(?<![A-Za-z0-9])"), exact, F.lit("(?![A-Za-z0-9])"))).otherwise(F.concat(F.lit("()"), exact))
+    secrets = judged.filter("secret").groupBy(F.col("doc_id").alias("__id")).agg(F.transform(
+        F.sort_array(F.collect_set(F.struct(F.length(v).alias("n"), "value", pattern.alias("p"))), asc=False), lambda x: x.p).alias("__secrets"))  # longest first
     rows = docs.join(secrets, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
-    clean = F.aggregate("__secrets", F.col("text"), lambda t, s: F.replace(t, s, F.lit("[SECRET]")))
+    clean = F.aggregate("__secrets", F.col("text"), lambda t, p: F.regexp_replace(t, p, F.lit("$1[SECRET]")))
     rows = rows.withColumn("text", F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("__secrets").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
