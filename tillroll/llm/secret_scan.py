@@ -17,8 +17,9 @@ An unquoted value ends at white space, at the next assignment of a list or
 query, or at a closing tag, and closing punctuation is not part of it.
 
 Cases: null and empty texts have no candidates; a value that occurs more than
-once in a text is one candidate, judged at its first place; labels of one kind
-only, or none, leave the label rules in force; repeated rows are judged alike.
+once in a text is judged at each of its places, and is secret if it is at any of
+them (it counts as one candidate, and is learnt from at the place that labels it
+a secret); labels of one kind only, or none, leave the label rules in force; repeated rows are judged alike.
 A secret goes everywhere in its text, one of under 16 characters as a whole
 word; dictionary words and values of under 4 characters go where they are assigned.
 """
@@ -37,6 +38,8 @@ SAMPLE, TREES, DEPTH, CUTOFF = 20_000, 20, 6, 0.5
 #: A dictionary word occurs at least this often.
 DICTIONARY_COUNT = 5
 LONG_TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+#: Characters before a long token or key format that its features see.
+CONTEXT = 48
 #: Fixed formats of public key kinds, and words that go before secrets and before other tokens.
 KEY_FORMAT = (r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])|sk_live_[A-Za-z0-9]{24,}+"
               r"|xox[abp]-[A-Za-z0-9-]{20,}+|AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-]))"
@@ -70,20 +73,22 @@ def url_password(match):
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """row, doc_id, found (distinct values with the text before them and whether they are assigned); written to the shared folder."""
-    rows = id_and_text(docs)
-    text = F.col("text")
-    def at_first_place(value):
-        place = F.instr(text, value)
-        before = F.when(place > 1, F.substring(text, F.greatest(F.lit(1), place - 48), F.least(F.lit(48), place - 1))).otherwise("")
-        return F.struct(value.alias("value"), before.alias("before"), F.lit(False).alias("assigned"))
-
+    """row, doc_id, found (distinct values and texts before them, and whether they are assigned); written to the shared folder."""
     def every(pattern):
-        return F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
-
-    found = F.concat(F.transform(every(ASSIGN + VALUE), assigned_value), F.transform(every(URL + r"[^\s/]+@"), url_password),
-                     F.transform(F.array_union(every(KEY_FORMAT), every(LONG_TOKEN)), at_first_place))
-    rows = rows.select("doc_id", F.filter(found, lambda x: x.value != "").alias("found"))
+        return F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+
+    def places(pattern):
+        """Every match with the ``CONTEXT`` characters before it."""
+        between = F.split("text", pattern, -1)
+        matches = every(pattern)
+        # Matches are of 16 characters or more: the three before reach back far enough.
+        tails = F.transform(between, lambda s, k: F.right(F.concat(F.right(s, F.lit(CONTEXT)), F.coalesce(F.get(matches, k), F.lit(""))), F.lit(CONTEXT)))
+        return F.transform(matches, lambda v, k: F.struct(v.alias("value"), F.right(F.concat_ws("", *(
+            F.get(tails, k - d) for d in (3, 2, 1)), F.get(between, k)), F.lit(CONTEXT)).alias("before"), F.lit(False).alias("assigned")))
+
+    found = F.concat(F.transform(F.array_distinct(every(ASSIGN + VALUE)), assigned_value),
+                     F.transform(F.array_distinct(every(URL + r"[^\s/]+@")), url_password), places(KEY_FORMAT), places(LONG_TOKEN))
+    rows = id_and_text(docs).select("doc_id", F.array_distinct(F.filter(found, lambda x: x.value != "")).alias("found"))
     return materialise(rows.withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
 
 
@@ -103,10 +108,9 @@ def letter_pairs(words: DataFrame) -> DataFrame:
 
 
 def features(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """row, doc_id, value and FEATURES of every candidate."""
-    at = found.select("row", "doc_id", F.explode("found").alias("f")).select("row", "doc_id", "f.*") \
-        .groupBy("row", "doc_id", "value").agg(F.max_by("before", F.struct("assigned", "before")).alias("before"), F.max("assigned").alias("named"))
-    at = materialise(at, "secret-findings")
+    """row, doc_id, value and FEATURES of every candidate at every place."""
+    at = found.select("row", "doc_id", F.explode("found").alias("f"))
+    at = materialise(at.select("row", "doc_id", "f.value", "f.before", F.col("f.assigned").alias("named")), "secret-findings")
     v, n = F.col("value"), F.length("value")
     share = lambda p: F.regexp_count("value", F.lit(p)) / n
     assigned = F.col("before").rlike(KEY_WORD.replace("(?i)", "(?i)\\b\\w*") + r"\w*[\"']?\s*(:|=|:=|=>)\s*[\"']?$")
@@ -139,6 +143,12 @@ def rule_labels(findings: DataFrame) -> DataFrame:
     return findings.withColumn("label", F.when(yes, 1.0).when(no, 0.0))
 
 
+def by_value(judged: DataFrame) -> DataFrame:
+    """One row for each value of a document: that of the place which is most a secret."""
+    best = F.max(F.struct("secret", "score", "label", *FEATURES)).alias("x")
+    return judged.groupBy("row", "doc_id", "value").agg(best).select("row", "doc_id", "value", "x.*")
+
+
 def judge(docs: DataFrame, labelled: DataFrame | None = None, cutoff: float = CUTOFF) -> tuple[DataFrame, DataFrame]:
     """(candidates, findings with score and secret). ``labelled``: (value, label) rows to train from."""
     found = candidates(docs)
@@ -147,16 +157,17 @@ def judge(docs: DataFrame, labelled: DataFrame | None = None, cutoff: float = CU
         marks = labelled.filter("value is not null and label in (0, 1)").groupBy("value").agg(F.max(F.col("label").cast("double")).alias("mark"))
         rows = rows.join(marks, "value", "left").withColumn("label", F.col("mark")).drop("mark")
     rows = materialise(rows, "secret-features")
-    sample = rows.filter("label is not null").dropDuplicates(["value"]).orderBy(F.xxhash64("value")).limit(SAMPLE)
+    one = rows.filter("label is not null").groupBy("value").agg(F.max(F.struct("label", *FEATURES)).alias("x"))
+    sample = one.orderBy(F.xxhash64("value"), "value").select("x.*").limit(SAMPLE)
     sample = materialise(sample.select("label", *FEATURES), "secret-sample")
     kinds = sample.agg(F.min("label"), F.max("label")).first()
     if kinds[0] is None or kinds[0] == kinds[1]:
-        return found, rows.withColumn("score", F.coalesce("label", F.lit(0.0))).withColumn("secret", F.col("score") >= cutoff)
+        return found, by_value(rows.withColumn("score", F.coalesce("label", F.lit(0.0))).withColumn("secret", F.col("score") >= cutoff))
     vector = VectorAssembler(inputCols=FEATURES, outputCol="vector")
     forest = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=11)
     model = forest.fit(vector.transform(sample))
     judged = model.transform(vector.transform(rows)).withColumn("score", vector_to_array("probability")[1])
-    return found, judged.select("row", "doc_id", "value", "label", *FEATURES, "score", ((F.col("score") >= cutoff) | (F.col("known_format") == 1)).alias("secret"))
+    return found, by_value(judged.withColumn("secret", (F.col("score") >= cutoff) | (F.col("known_format") == 1)))
 
 
 def report(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
