@@ -57,3 +57,12 @@ def test_report(spark):
     assert by[103].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert "Zyxwvut" not in S.sanitise(leak, by[100].spans) and "[EMAIL]" in S.sanitise(leak, by[100].spans)
     assert S.report(df.limit(0)).count() == 0
+
+
+def test_document_frequencies_count_the_terms_that_pairs_count(spark):
+    near = "write to bob@mail.example.com about gamma now"
+    forms = ["a-gamma", "gamma/b", "a_gamma", "|gamma|", "[gamma]", "«gamma»", "gamma1", "gamma\u00a0x"]
+    docs = [(k, f"other {forms[k % 8]} text") for k in range(80)] + [(100, near), (101, near)]
+    got = {r.doc_id: r.spans for r in S.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    i = near.index("gamma")
+    assert f":{i}:{i + 5}" not in got[100] and f":{i}:{i + 5}" not in got[101]  # common, in any surroundings

@@ -8,8 +8,9 @@ A term that gives ``DISCLOSE`` of it or more, in ``SUPPORT`` documents at least,
 is generalised in every document that holds the entity; from ``REMOVE`` on it
 is removed.
 
-Document frequencies cover every word of every document, the words shuffled as
-64-bit hashes after adding up within each task's chunks.
+Document frequencies cover every term of every document, by the same function
+as the joint counts; terms are shuffled as 64-bit hashes after adding up within
+each task's chunks.
 
 Cases: a null or empty text has no spans; documents without base spans get no
 term spans; repeated rows count each time; null ids are kept.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import id_and_text, materialise, row_chunks, table_batch
-from tillroll.llm.words import LOWER, split_words
 
 KINDS = ("email", "ip", "card", "phone")
 DISCLOSE, REMOVE, SUPPORT, NEAR = 0.8, 0.95, 2, 6
@@ -97,6 +98,11 @@ def _entity(kind: str, value: str) -> int:
     return _hash(f"{kind} " + (value.lower() if kind == "email" else re.sub("[^0-9.]", "", value)))
 
 
+def _distinct(text: str, spans: list) -> set[str]:
+    """The distinct terms of a document: what document frequencies and joint counts both count."""
+    return {w.lower() for w in set(TERM.findall(text))} if not spans else {t[0] for t in _terms(text, spans)}
+
+
 def _near(text: str, spans: list) -> dict[int, set[int]]:
     """{entity: hashes of the words within NEAR words of a place of it}."""
     terms = _terms(text, spans)
@@ -119,17 +125,10 @@ def _scan(batches):
     from pyspark import TaskContext
     n = TaskContext.get().partitionId() << 33
     for rows, texts in row_chunks(batches):
-        words = split_words(texts, LOWER)
-        plain = [t if len(t) > 3 and t.isalpha() else "" for t in (w.strip(".,;:!?()\"'") for w in words.strings())]
-        # The same word with and without a comma is one term.
-        names: dict[str, int] = {}
-        code = np.array([names.setdefault(t.lower(), len(names)) if t else -1 for t in plain] or [0], np.int64)
-        doc = np.repeat(np.arange(len(texts)), words.counts)
-        term = code[words.ids]
-        both = np.unique(doc[term >= 0] * max(1, len(names)) + term[term >= 0])
-        df = np.bincount(both % max(1, len(names)), minlength=len(names))
-        del words, both, doc, term
         spans = [base_spans(t) for t in texts]
+        df = Counter()
+        for t, x in zip(texts, spans):
+            df.update(_distinct(t, x))
         near = [_near(t, s) if s else {} for t, s in zip(texts, spans)]
         first = [None] * (len(texts) - 1)
         yield table_batch({
@@ -137,7 +136,7 @@ def _scan(batches):
             "spans": [",".join(f"{k}:{b}:{e}" for k, b, e in s) for s in spans],
             "text": [t if s else None for t, s in zip(texts, spans)], "entities": [list(x) for x in near],
             "pairs": [[{"e": e, "t": t} for e, ts in x.items() for t in ts] for x in near],
-            "terms": [list(map(_hash, names)), *first], "dfs": [df, *first]}, SEEN)
+            "terms": [list(map(_hash, df)), *first], "dfs": [list(df.values()), *first]}, SEEN)
         n += len(texts)
 
 
@@ -148,8 +147,7 @@ def disclosures(seen: DataFrame, disclose: float = DISCLOSE, remove: float = REM
     of_entity = seen.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("ne"))
     of_term = seen.filter("terms is not null").select(F.explode(F.arrays_zip("terms", "dfs")).alias("x")) \
         .select(F.col("x.terms").alias("t"), F.col("x.dfs").alias("df")).groupBy("t").agg(F.sum("df").alias("nt"))
-    # A word in another spelling than the frequency scan strips may be unknown to it: its joint count is the least it has.
-    x = joint.join(of_entity, "e").join(of_term, "t", "left").withColumn("nt", F.greatest("nt", "n"))
+    x = joint.join(of_entity, "e").join(of_term, "t")
     pmi = F.log(F.lit(float(max(1, total))) * F.col("n") / (F.col("ne") * F.col("nt")))
     share = F.when(F.col("ne") >= total, F.lit(0.0)).otherwise(pmi / F.log(F.lit(float(max(1, total))) / F.col("ne")))
     return x.withColumn("share", share).filter(F.col("share") >= disclose).select("e", "t", (F.col("share") >= remove).alias("removed"))
