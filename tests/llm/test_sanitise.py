@@ -66,3 +66,33 @@ def test_document_frequencies_count_the_terms_that_pairs_count(spark):
     got = {r.doc_id: r.spans for r in S.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     i = near.index("gamma")
     assert f":{i}:{i + 5}" not in got[100] and f":{i}:{i + 5}" not in got[101]  # common, in any surroundings
+
+
+def test_terms_anywhere_in_the_document(spark):
+    fill = " ".join(f"w{k % 40}" for k in range(300))
+    leak = f"Lee 王小明 {fill} bob@mail.example.com {fill} account AB77312"
+    docs = [(k, f"{fill} bob x{k}") for k in range(60)] + [(100, leak), (101, leak)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in S.report(df).collect()}
+    clean = S.sanitise(leak, got[100])
+    assert not any(w in clean for w in ("Lee", "王小明", "AB77312", "bob@")) and clean.count("w7 ") == leak.count("w7 ")
+    assert all(got[k] == "" for k in range(60))
+
+
+@pytest.mark.parametrize("common", [0.001, 0.3, 1.0])
+def test_disclosures_equal_brute_force(spark, common, monkeypatch):
+    from collections import Counter
+    from math import log
+    monkeypatch.setattr(S, "COMMON", common)
+    monkeypatch.setattr(S, "PAIRS", 50)
+    r = random.Random(7)
+    docs = [" ".join([*(f"t{int(r.random() ** 3 * 60)}" for _ in range(12)), *(f"u{r.randrange(9)}@m.org" for _ in range(r.choice([0, 0, 1, 3])))]) for _ in range(200)]
+    ne, nt, n = Counter(), Counter(), Counter()
+    for d in docs:
+        es, ts = {w for w in d.split() if "@" in w}, {w for w in d.split() if "@" not in w}
+        ne.update(es), nt.update(ts), n.update((e, t) for e in es for t in ts)
+    share = {k: log(200 * v / (ne[k[0]] * nt[k[1]])) / log(200 / ne[k[0]]) for k, v in n.items() if v >= 2}
+    want = {(S._entity("email", e), S._hash(t)): x >= 0.5 for (e, t), x in share.items() if x >= 0.3}
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    seen = S.materialise(S.id_and_text(df).mapInArrow(S._scan, S.SEEN_SQL), "test-seen")
+    assert len(want) > 5 and {(x.e, x.t): x.removed for x in S.disclosures(seen, 0.3, 0.5).collect()} == want

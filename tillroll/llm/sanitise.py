@@ -1,7 +1,8 @@
 """Personal data by patterns, and terms that disclose it by corpus statistics.
 
 Patterns find the base spans (e-mail, IP, card, phone). Each value found is a
-protected entity. Words near an entity are counted with it over the corpus;
+protected entity. All terms (runs of letters and digits, of any length) of the
+documents that hold an entity are counted with it over the corpus;
 from document frequencies, PMI(entity, term) = log(N n(e, t) / (n(e) n(t))) is the
 information the term gives about the entity, and log(N / n(e)) is all there is.
 A term that gives ``DISCLOSE`` of it or more, in ``SUPPORT`` documents at least,
@@ -10,7 +11,9 @@ is removed.
 
 Document frequencies cover every term of every document, by the same function
 as the joint counts; terms are shuffled as 64-bit hashes after adding up within
-each task's chunks.
+each task's chunks. Only what can't reach the threshold is left out of the joint
+counts: entities in fewer documents than the support, and terms so common that
+even in all of an entity's documents they would give less.
 
 Cases: a null or empty text has no spans; documents without base spans get no
 term spans; repeated rows count each time; null ids are kept.
@@ -30,7 +33,10 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import id_and_text, materialise, row_chunks, table_batch
 
 KINDS = ("email", "ip", "card", "phone")
-DISCLOSE, REMOVE, SUPPORT, NEAR = 0.8, 0.95, 2, 6
+DISCLOSE, REMOVE, SUPPORT = 0.8, 0.95, 2
+#: Terms in more than this share of the documents have their frequencies sent to all tasks (as many terms as a
+#: document has on average, divided by it, at most); pairs that a task counts before it passes them on.
+COMMON, PAIRS = 0.001, 1_000_000
 #: The patterns, written so that a long run of their characters is read once: starts inside a
 #: run that has failed would fail alike.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -39,7 +45,7 @@ LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TERM = re.compile(r"[^\W\d_]{4,}")
+TERM = re.compile(r"[^\W_]+")
 
 
 def luhn(digits: str) -> bool:
@@ -103,21 +109,10 @@ def _distinct(text: str, spans: list) -> set[str]:
     return {w.lower() for w in set(TERM.findall(text))} if not spans else {t[0] for t in _terms(text, spans)}
 
 
-def _near(text: str, spans: list) -> dict[int, set[int]]:
-    """{entity: hashes of the words within NEAR words of a place of it}."""
-    terms = _terms(text, spans)
-    begins = np.array([t[1] for t in terms], np.int64)
-    out: dict[int, set[int]] = {}
-    for kind, b, e in spans:
-        k = int(np.searchsorted(begins, b))
-        out.setdefault(_entity(kind, text[b:e]), set()).update(_hash(t[0]) for t in terms[max(0, k - NEAR):k + NEAR])
-    return out
-
-
 SEEN = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("spans", pa.string()), ("text", pa.string()),
-                  ("entities", pa.list_(pa.int64())), ("pairs", pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64())]))),
+                  ("entities", pa.list_(pa.int64())),
                   ("terms", pa.list_(pa.int64())), ("dfs", pa.list_(pa.int64()))])
-SEEN_SQL = "row bigint, doc_id bigint, spans string, text string, entities array<bigint>, pairs array<struct<e:bigint,t:bigint>>, terms array<bigint>, dfs array<bigint>"
+SEEN_SQL = "row bigint, doc_id bigint, spans string, text string, entities array<bigint>, terms array<bigint>, dfs array<bigint>"
 
 
 def _scan(batches):
@@ -129,24 +124,63 @@ def _scan(batches):
         df = Counter()
         for t, x in zip(texts, spans):
             df.update(_distinct(t, x))
-        near = [_near(t, s) if s else {} for t, s in zip(texts, spans)]
         first = [None] * (len(texts) - 1)
         yield table_batch({
             "row": np.arange(n, n + len(texts)), "doc_id": rows.column("doc_id"),
             "spans": [",".join(f"{k}:{b}:{e}" for k, b, e in s) for s in spans],
-            "text": [t if s else None for t, s in zip(texts, spans)], "entities": [list(x) for x in near],
-            "pairs": [[{"e": e, "t": t} for e, ts in x.items() for t in ts] for x in near],
+            "text": [t if s else None for t, s in zip(texts, spans)], "entities": [list({_entity(k, t[b:e]) for k, b, e in s}) for t, s in zip(texts, spans)],
             "terms": [list(map(_hash, df)), *first], "dfs": [list(df.values()), *first]}, SEEN)
         n += len(texts)
 
 
+PAIR = pa.schema([("e", pa.int64()), ("t", pa.int64()), ("n", pa.int64())])
+
+
+def _pairs(total: int, disclose: float, common: np.ndarray, frequency: np.ndarray):
+    """(e, t, n) of each chunk's documents. ``common``: sorted hashes of common terms, with ``frequency``."""
+    def counted(es, ts):
+        e, t = np.concatenate(es), np.concatenate(ts)
+        order = np.lexsort((t, e))
+        e, t = e[order], t[order]
+        first = np.flatnonzero(np.concatenate([[True], (e[1:] != e[:-1]) | (t[1:] != t[:-1])]))
+        return table_batch({"e": e[first], "t": t[first], "n": np.diff(first, append=len(e))}, PAIR)
+
+    def step(batches):
+        for rows, texts in row_chunks(batches):
+            es, ts, size = [], [], 0
+            for text, base, held in zip(texts, rows.column("spans").to_pylist(), rows.column("held").to_pylist()):
+                spans = [(kind, int(i), int(j)) for kind, i, j in (x.split(":") for x in base.split(","))]
+                terms = np.array([_hash(w) for w in _distinct(text, spans)], np.int64)
+                at = np.minimum(np.searchsorted(common, terms), max(0, len(common) - 1))
+                nt = np.where(common[at] == terms, frequency[at], 0) if len(common) else np.zeros(len(terms), np.int64)
+                for x in held:
+                    # Reaching the threshold takes n / nt >= (N / ne) ** (disclose - 1), and n is ne at most.
+                    own = terms[nt <= x["ne"] * (total / x["ne"]) ** (1 - disclose) * (1 + 1e-9)]
+                    es.append(np.full(len(own), x["e"], np.int64))
+                    ts.append(own)
+                    size += len(own)
+                    if size > PAIRS:
+                        yield counted(es, ts)
+                        es, ts, size = [], [], 0
+            if size:
+                yield counted(es, ts)
+    return step
+
+
 def disclosures(seen: DataFrame, disclose: float = DISCLOSE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
     """(e, t, removed): terms that disclose entities, from the scan's counts."""
     total = seen.count()
-    joint = seen.select(F.explode("pairs").alias("p")).groupBy("p.e", "p.t").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= support)
-    of_entity = seen.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("ne"))
-    of_term = seen.filter("terms is not null").select(F.explode(F.arrays_zip("terms", "dfs")).alias("x")) \
-        .select(F.col("x.terms").alias("t"), F.col("x.dfs").alias("df")).groupBy("t").agg(F.sum("df").alias("nt"))
+    of_entity = seen.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("ne")).filter(F.col("ne") >= support)
+    of_term = materialise(seen.filter("terms is not null").select(F.explode(F.arrays_zip("terms", "dfs")).alias("x"))
+                          .select(F.col("x.terms").alias("t"), F.col("x.dfs").alias("df")).groupBy("t").agg(F.sum("df").alias("nt"))
+                          .filter(F.col("nt") >= support), "pii-terms")
+    known = of_term.filter(F.col("nt") > COMMON * total).toArrow()
+    common, frequency = known.column("t").to_numpy(), known.column("nt").to_numpy()
+    order = np.argsort(common)
+    held = seen.select("row", F.explode("entities").alias("e")).join(of_entity, "e").groupBy("row").agg(F.collect_list(F.struct("e", "ne")).alias("held"))
+    joint = seen.filter("spans <> ''").select("row", "spans", "text").join(held, "row").select("spans", "text", "held") \
+        .mapInArrow(_pairs(total, disclose, common[order], frequency[order]), "e bigint, t bigint, n bigint") \
+        .groupBy("e", "t").agg(F.sum("n").alias("n")).filter(F.col("n") >= support)
     x = joint.join(of_entity, "e").join(of_term, "t")
     pmi = F.log(F.lit(float(max(1, total))) * F.col("n") / (F.col("ne") * F.col("nt")))
     share = F.when(F.col("ne") >= total, F.lit(0.0)).otherwise(pmi / F.log(F.lit(float(max(1, total))) / F.col("ne")))
