@@ -1,10 +1,12 @@
-"""N-gram Jaccard join by a MinHash LSH forest.
-
-Each tree holds a label of MinHash values for every word-shingle set; labels
-with a common prefix meet at a node of the tree's trie. Matched prefixes are
-shortened from the full depth until pairs at the threshold meet in some tree
-with the target probability. Nodes of that depth give candidate links, kept as
-stars (a node links its members to its smallest one); their components are
+"""N-gram Jaccard join by MinHash in fixed bands.
+
+Each of ``TREES`` bands is one key, hashed from as many MinHash values as still
+let pairs at the threshold meet in some band with the target probability; that
+number depends on the parameters alone (6 of at most ``DEPTH``). No tries are
+kept and no longer prefixes are matched first. A pair of similarity J misses
+all 24 bands with the probability (1 - J**6)**24 and is lost unless other
+documents link the two. Equal keys give candidate links, kept as
+stars (a key links its members to its smallest one); their components are
 then verified exactly, all pairs, in blocks of bounded size, so nothing emits
 the pairs of a group. Sets that are equal count as one representative.
 
