@@ -57,3 +57,21 @@ def test_clean_cuts_spans_and_drops_covered(spark):
     got = {r[0]: (r[1], r[2]) for r in D.clean(d, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
     text = docs[0][1].replace(item.upper(), "")
     assert got == {1: (text, len(text)), 3: ("clean", 7), 4: (None, None)}
+
+
+def test_one_part_of_the_items_at_a_time(spark, monkeypatch):
+    import weakref
+    alive, most, built = weakref.WeakSet(), [], D.Automaton.__init__
+
+    def build(self, *args):
+        most.append(len(alive))
+        alive.add(self)
+        built(self, *args)
+
+    monkeypatch.setattr(D.Automaton, "__init__", build)
+    items = [(k, f"a{k} b{k} c{k} d{k}") for k in range(12)]
+    docs = [(k, f"x a{k} b{k} c{k} d{k} y") for k in range(12)]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = D.find(d, i, 4, limit=40).collect()
+    assert len(most) > 3 and max(most) == 0  # none is left in the driver when the next is built
+    assert all([tuple(s) for s in r.spans] == [(1, 5)] and r.item_ids == [str(r.doc_id)] for r in found)
