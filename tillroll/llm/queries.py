@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, language_model, ngram_join, packing, quality, sanitise, secret_scan, token_files, url_filter, vector_join
+from tillroll.llm import decontaminate, language_model, ngram_join, packing, piece_encoding, quality, sanitise, secret_scan, token_files, url_filter, vector_join
 from tillroll.llm.common import read_table
 
 #: File names in the folder of public tokenizers.
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 #: (verdict, host/path) of the url filter.
@@ -63,6 +64,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encoding.report(read_table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_vector_join": op2_vector_join,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
     "op10_sanitise": op10_sanitise,
+    "op11_piece_encoding": op11_piece_encoding,
 }
 
 #: The url filter as SQL: classes by recursion over links with absolute or root-relative targets.
