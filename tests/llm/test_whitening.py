@@ -41,8 +41,7 @@ def brute(rows, dims, components=16):
 
 
 @pytest.mark.parametrize("dims,count", [(5, 300), (20, 400), (3, 2)])
-def test_whitening_equals_the_definition(spark, dims, count, monkeypatch):
-    monkeypatch.setattr(W, "BLOCK_ROWS", 70)
+def test_whitening_equals_the_definition(spark, dims, count):
     r = np.random.default_rng(dims)
     mix = r.normal(size=(dims, dims)) * 0.3
     rows = [(k % 250, [float(np.float32(c)) for c in r.normal(size=dims) @ mix]) for k in range(count)]

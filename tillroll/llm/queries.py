@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, language_model, ngram_join, packing, piece_encoding, quality, sanitise, secret_scan, token_files, url_filter, vector_join, whitening
+from tillroll.llm import conversation_repair, decontaminate, language_model, ngram_join, packing, piece_encoding, quality, sanitise, secret_scan, token_files, url_filter, vector_join, whitening
 from tillroll.llm.common import read_table
 
 #: File names in the folder of public tokenizers.
@@ -68,6 +68,10 @@ def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_encoding.report(read_table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(read_table(spark, sf_dir, "conversations"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(read_table(spark, sf_dir, "embeddings"))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_sanitise": op10_sanitise,
     "op11_piece_encoding": op11_piece_encoding,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_whitening": op13_whitening,
 }
 
