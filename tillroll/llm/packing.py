@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import id_and_text, materialise, row_chunks, sql_partitions, table_batch
-from tillroll.llm.tokenise import encoder, forget
+from tillroll.llm.tokenise import encoder
 
 SIZE = 1024
 #: Bytes of text that a task tokenises at once.
@@ -51,8 +51,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = SIZE) -> Da
                     for c, v in zip(schema.names, (i, at, len(cut), zlib.crc32(cut.astype("<u4").tobytes()), len(x), cut.tobytes())):
                         out[c].append(v)
             yield table_batch(out, schema)
-        del enc
-        forget()
+        enc.memo.rest()
 
     return id_and_text(docs).mapInArrow(step, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary")
 
