@@ -5,7 +5,7 @@ the key. Spark plans that filter as a *partial* WindowGroupLimit before the
 shuffle and a final one after it: each map task sorts its own rows and sends
 only the rows at its local extreme per key, so a customer holding a third of
 all rows contributes a handful of candidate rows per task, not its rows, and
-the fact is scanned once. ``top_n_with_ties`` never uses a window at all.
+the fact is scanned once. ``top_n_with_ties`` is the same filter in two stages.
 """
 
 from __future__ import annotations
@@ -37,20 +37,22 @@ def top_n_with_ties(df: DataFrame, value: str, n: int = 1, descending: bool = Tr
     """``TOP (n) WITH TIES ... ORDER BY value [DESC]``: the first n rows plus every row tied with the n-th.
 
     NULL is the smallest value, as in the delivery dialect: last in descending
-    order, first in ascending order, and tied with other NULLs. The threshold
-    comes from a scalar subquery over a top-n (TakeOrderedAndProject keeps n
-    rows per partition), so no single task ever sees more than n rows per input
-    partition; the rows are then a plain filter.
+    order, first in ascending order, and tied with other NULLs.
+
+    Rank <= n is just that set, and it holds for a part of the rows if it holds
+    for all. So two stages select: every task keeps the rows of rank <= n among
+    its own (a partial WindowGroupLimit, before any shuffle), then the same
+    among what is left. ``df`` is evaluated once, however it was computed; the
+    last task reads n rows of each task and the rows tied with them.
     """
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
-    head = df.select(value).orderBy(order).limit(n)
-    nth = head.agg(F.struct((F.min if descending else F.max)(value).alias("value"),
-                            F.count(F.lit(1)).alias("rows"), F.count(value).alias("present"))).scalar()
-    if descending:  # a NULL among the first n: the n-th is NULL, which every row reaches
-        cond = (nth["present"] < nth["rows"]) | (F.col(value) >= nth["value"])
-    else:
-        cond = F.col(value).isNull() | (F.col(value) <= nth["value"])
-    return df.filter(cond)
+    spread = Window.partitionBy("__part").orderBy(order)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = [F.col(f"`{c}`") for c in df.columns if df.schema[c].dataType.typeName() not in ("map", "variant")]
+    local = (df.withColumn("__part", F.pmod(F.xxhash64(*columns), F.lit(parts)))
+               .withColumn("__rank", F.rank().over(spread)).filter(F.col("__rank") <= n).drop("__rank", "__part"))
+    return (local.withColumn("__rank", F.rank().over(Window.orderBy(order)))
+                 .filter(F.col("__rank") <= n).drop("__rank"))
 
 
 def most_frequent_per_key(df: DataFrame, keys: Sequence[str], item: str, count_col: str = "cnt") -> DataFrame:

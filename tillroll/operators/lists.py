@@ -105,3 +105,64 @@ def labelled_tokens(texts: DataFrame, text_col: str, toppings: DataFrame, id_col
     word = F.coalesce(F.col("__name"), F.col("__tok"))
     parts = F.array_sort(F.collect_list(F.struct(F.col("__pos"), word.alias("w"))))
     return named.groupBy(text_col).agg(F.array_join(F.transform(parts, lambda s: s["w"]), sep).alias(out))
+
+
+# ------------------------------------------------------- dictionary arithmetic
+#: Most toppings of a dictionary that rides along as one value. Larger dimensions are joined instead.
+DICTIONARY_ROWS = 2000
+
+
+def topping_dictionary(toppings: DataFrame, id_col: str = "topping_id", name_col: str = "topping_name",
+                       most: int = DICTIONARY_ROWS) -> Column | None:
+    """The toppings in alphabetical order as one scalar, ``array<struct<k0, k1, id>>`` (k1 the name, k0 its
+    lower case); None if there are more than ``most``, which is checked on the table as it stands."""
+    if toppings.select(F.lit(1)).limit(most + 1).count() > most:
+        return None
+    entry = F.struct(F.lower(name_col).alias("k0"), F.col(name_col).alias("k1"), F.col(id_col).alias("id"))
+    return toppings.agg(F.array_sort(F.collect_list(entry)).alias("d")).scalar()
+
+
+def listed_entries(dictionary: Column, tokens: Column, match: str = "int") -> Column:
+    """The dictionary's entries whose id is among ``tokens``, in its order (none for NULL)."""
+    def hit(e):
+        return F.array_contains(tokens, e["id"] if match == "int" else e["id"].cast("string"))
+    return F.coalesce(F.filter(dictionary, hit), F.filter(dictionary, lambda e: F.lit(False)))
+
+
+def recipe_arrays(recipes: DataFrame, dictionary: Column, key: str = "pizza_id", list_col: str = "toppings",
+                  match: str = "text", out: str = "recipe") -> DataFrame:
+    """``(key, out)``: the entries of each recipe as one array in the dictionary's order.
+
+    The array form of :func:`recipe_entries`: no explode and no join with the
+    toppings. With ``match='text'`` a repeated recipe row repeats its entries,
+    as a join would; with ``match='int'`` ids are a set.
+    """
+    d = F.col("__d")  # a subquery can't stand inside of a lambda's function, a column can
+    if match == "int":
+        ids = recipes.groupBy(key).agg(F.flatten(F.collect_set(int_tokens(list_col, distinct=True))).alias("__ids"))
+        return ids.withColumn("__d", dictionary).select(key, listed_entries(d, F.col("__ids")).alias(out))
+    tokens = F.array_distinct(split_tokens(list_col))
+    per_text = recipes.groupBy(key, list_col).agg(F.count(F.lit(1)).alias("__n")).withColumn("__d", dictionary)
+    rows = per_text.select(key, F.flatten(F.array_repeat(listed_entries(d, tokens, "text"), F.col("__n").cast("int"))).alias("__e"))
+    return rows.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("__e"))).alias(out))
+
+
+def net_quantities(dictionary: Column, recipe: Column, removes: Column, adds: Column) -> Column:
+    """``array<struct<k1, qty>>`` of what is left of a recipe: [in recipe] - [in removes] + occurrences in
+    adds, entries above zero, in the dictionary's order. ``recipe`` holds entries, the others ids."""
+    nothing = F.array().cast("array<int>")
+    removes, adds = F.coalesce(removes, nothing), F.coalesce(adds, nothing)
+    ids = F.transform(recipe, lambda e: e["id"])
+
+    def qty(e):
+        return (F.when(F.array_contains(ids, e["id"]), 1).otherwise(0) - F.when(F.array_contains(removes, e["id"]), 1).otherwise(0)
+                + F.size(F.filter(adds, lambda a: a == e["id"])))
+
+    touched = F.filter(dictionary, lambda e: F.array_contains(F.concat(ids.cast("array<int>"), adds), e["id"].cast("int")))
+    return F.filter(F.transform(touched, lambda e: F.struct(e["k1"].alias("k1"), qty(e).alias("qty"))), lambda e: e["qty"] > 0)
+
+
+def quantity_list(entries: Column, sep: str = ", ") -> Column:
+    """'2xBacon, Cheese' from ``array<struct<k1, qty>>``."""
+    return F.array_join(F.transform(entries, lambda e: F.when(
+        e["qty"] > 1, F.concat(e["qty"].cast("string"), F.lit("x"), e["k1"])).otherwise(e["k1"])), sep)

@@ -30,11 +30,11 @@ from tillroll.functions.temporal import (
     weekday_name, weekday_number,
 )
 from tillroll.functions.text import (
-    as_col, double_from_digits, has_value, int_from_digits, number_from_text, text_eq, text_ne, text_not_in,
+    as_col, double_from_digits, has_value, int_from_digits, null_token, number_from_text, text_eq, text_ne, text_not_in,
 )
 from tillroll.operators import (
-    labelled_tokens, not_in, null_safe_join, pivot_counts, recipe_entries, token_frequency, top_n_with_ties,
-    variant_quantities,
+    labelled_tokens, net_quantities, not_in, null_safe_join, pivot_counts, quantity_list, recipe_arrays, recipe_entries,
+    token_frequency, top_n_with_ties, topping_dictionary, variant_quantities,
 )
 from tillroll.sources.tables import DeliveryTables
 
@@ -340,23 +340,19 @@ def c05_ingredient_lists(t: DeliveryTables) -> DataFrame:
     ingredient for every item of the order, and each matching extra row repeats it.
 
     Built from bounded pieces instead of exploding item x ingredient rows:
-    items are counted per (order, pizza); each pizza's recipe is one sorted
+    items are counted once per (order, pizza, extras text); each pizza's recipe is one sorted
     array (recipe-sized); each order's extras are one map topping -> rows
     (at most one entry per topping). A row-wise ``transform`` then yields
     ``(label, repeats)`` per ingredient, and the final group per (order, name)
-    only merges the rows of pizzas sharing that name.
+    only merges the rows of pizzas sharing that name. Both reads of the counts
+    keep all their columns, so the items are scanned and shuffled once.
     """
-    co = t.customer_orders
-    items = co.groupBy("order_id", "pizza_id").agg(F.count(F.lit(1)).alias("n_items"))
-    ent = recipe_entries(t.pizza_recipes, t.pizza_toppings)
-    recipe = ent.groupBy("pizza_id").agg(F.collect_list(F.struct(
-        F.lower("topping_name").alias("k0"), F.col("topping_name").alias("k1"), F.col("topping_id").alias("id"))
-    ).alias("recipe"))
-    # per order: distinct extras texts with their row counts (bounded by the
-    # distinct texts of one order), turned in-row into topping id -> rows
-    texts = (co.filter(listed("extras"))
-               .groupBy("order_id", "extras").agg(F.count(F.lit(1)).alias("n"))
-               .groupBy("order_id").agg(F.collect_list(F.struct("extras", "n")).alias("__t")))
+    counts = t.customer_orders.groupBy("order_id", "pizza_id", "extras").agg(F.count(F.lit(1)).alias("n"))
+    items = counts.groupBy("order_id", "pizza_id").agg(F.sum("n").alias("n_items"))
+    # per order: its extras texts with their row counts (bounded by the variants of one order), turned
+    # in-row into topping id -> rows
+    texts = counts.groupBy("order_id").agg(F.collect_list(
+        F.when(listed("extras"), F.struct("extras", "n"))).alias("__t")).filter(F.size("__t") > 0)
     pairs = F.flatten(F.transform("__t", lambda e: F.transform(
         int_tokens(e["extras"]), lambda i: F.struct(i.alias("id"), e["n"].alias("n")))))
     extras = texts.select("order_id", pairs.alias("__p")).select(
@@ -365,8 +361,18 @@ def c05_ingredient_lists(t: DeliveryTables) -> DataFrame:
             F.transform(F.array_distinct(F.transform("__p", lambda p: p["id"])),
                         lambda d: F.aggregate(F.filter("__p", lambda p: p["id"] == d), F.lit(0).cast("bigint"),
                                               lambda acc, p: acc + p["n"]))).alias("xmap"))
+    dictionary = topping_dictionary(t.pizza_toppings)
+    if dictionary is not None:
+        recipe = recipe_arrays(t.pizza_recipes, dictionary)
+    else:
+        ent = recipe_entries(t.pizza_recipes, t.pizza_toppings)
+        recipe = ent.groupBy("pizza_id").agg(F.collect_list(F.struct(
+            F.lower("topping_name").alias("k0"), F.col("topping_name").alias("k1"), F.col("topping_id").alias("id"))
+        ).alias("recipe"))
+    recipe = recipe.filter(F.size("recipe") > 0)  # a recipe without a known topping joins nothing
     menu = t.pizza_names.select("pizza_id", "pizza_name").join(recipe, "pizza_id")  # pizza grain
-    j = items.join(menu, "pizza_id").join(extras, "order_id", "left")
+    # NULL-safe only so that no IS NOT NULL reaches one scan of the items and not the other.
+    j = null_safe_join(items, menu.filter("pizza_id is not null"), ["pizza_id"]).join(extras, "order_id", "left")
 
     def entry(x):
         e = F.try_element_at(F.col("xmap"), x["id"])
@@ -393,13 +399,42 @@ def _variant_lists(t: DeliveryTables, variants: DataFrame) -> DataFrame:
         ordered_concat(label, F.lower("topping_name"), F.col("topping_name")).alias("__list"))
 
 
+def _known_recipes(t: DeliveryTables, dictionary: Column) -> DataFrame:
+    return recipe_arrays(t.pizza_recipes, dictionary, match="int")
+
+
+def _net() -> Column:
+    """What an item (or variant) with a ``recipe`` array and the ``dictionary`` uses, by its texts of exclusions and extras."""
+    dictionary = F.col("dictionary")
+    none = F.filter(dictionary, lambda e: F.lit(False))
+    return net_quantities(dictionary, F.coalesce("recipe", none), int_tokens(null_token("exclusions"), distinct=True),
+                          int_tokens(null_token("extras")))
+
+
 def c05_ingredient_lists_intended(t: DeliveryTables) -> DataFrame:
     """One list per item: recipe minus exclusions plus extras ('2xBacon' when doubled).
 
-    Lists are computed once per distinct (pizza, exclusions, extras) variant
-    and joined back to the items with NULL-safe keys (an item whose variant
-    has no ingredient left gets an empty list).
+    Each pizza carries its recipe as one array in the alphabetical order of the
+    toppings and its plain list; the items are scanned once and meet it in one
+    join. Items with changes get their list by arithmetic on those arrays, the
+    others the plain one (an item with no ingredient left gets an empty list).
+    Beyond ``DICTIONARY_ROWS`` toppings the lists are computed per distinct
+    variant by joins.
     """
+    dictionary = topping_dictionary(t.pizza_toppings)
+    if dictionary is None:
+        return _c05_intended_by_variant(t)
+    menu = t.pizza_names.select("pizza_id", "pizza_name").join(_known_recipes(t, dictionary), "pizza_id", "left")
+    menu = menu.withColumn("plain", F.coalesce(F.array_join(F.col("recipe.k1"), ", "), F.lit("")))
+    changed = null_token("exclusions").isNotNull() | null_token("extras").isNotNull()
+    text = F.when(changed, quantity_list(_net())).otherwise(F.col("plain"))
+    return (t.customer_orders.select("order_id", *VARIANT).join(menu, "pizza_id").withColumn("dictionary", dictionary)
+             .select("order_id", F.concat("pizza_name", F.lit(": "), text).alias("ingredient_list"))
+             .orderBy("order_id", "ingredient_list"))
+
+
+def _c05_intended_by_variant(t: DeliveryTables) -> DataFrame:
+    """The same lists for a dimension of toppings of any size, once per distinct variant."""
     co = t.customer_orders
     variants = co.select(*VARIANT).distinct()
     named = variants.join(t.pizza_names.select("pizza_id", "pizza_name"), "pizza_id")  # variant grain
@@ -420,14 +455,24 @@ def c06_ingredient_totals(t: DeliveryTables) -> DataFrame:
 
 
 def c06_ingredient_totals_intended(t: DeliveryTables) -> DataFrame:
-    """Ingredients actually used by delivered items: recipe - exclusions + extras."""
+    """Ingredients actually used by delivered items: recipe - exclusions + extras.
+
+    Items are counted per variant; what a variant uses is arithmetic on its
+    recipe's array, and only the quantities that are left become rows.
+    """
     variants = (_delivered_items(t, intended=True).groupBy(*VARIANT).agg(F.count(F.lit(1)).alias("n")))
-    rid = recipe_entries(t.pizza_recipes, t.pizza_toppings, match="int").select("pizza_id", "topping_id")
-    qty = variant_quantities(variants, rid, VARIANT, carry=["n"])
-    w = qty.select("topping_id", (F.col("qty") * F.col("n")).alias("q"))
-    return (w.join(t.pizza_toppings, "topping_id")
-             .groupBy("topping_name").agg(F.sum("q").alias("total_quantity"))
-             .orderBy(F.desc("total_quantity"), "topping_name"))
+    dictionary = topping_dictionary(t.pizza_toppings)
+    if dictionary is None:
+        rid = recipe_entries(t.pizza_recipes, t.pizza_toppings, match="int").select("pizza_id", "topping_id")
+        qty = variant_quantities(variants, rid, VARIANT, carry=["n"])
+        used = qty.select("topping_id", (F.col("qty") * F.col("n")).alias("q")).join(t.pizza_toppings, "topping_id")
+    else:
+        recipes = _known_recipes(t, dictionary)
+        used = (variants.join(recipes, "pizza_id", "left").withColumn("dictionary", dictionary)
+                        .select("n", F.inline(_net()))
+                        .select(F.col("k1").alias("topping_name"), (F.col("qty") * F.col("n")).alias("q")))
+    return (used.groupBy("topping_name").agg(F.sum("q").alias("total_quantity"))
+                .orderBy(F.desc("total_quantity"), "topping_name"))
 
 
 # ------------------------------------------------------------------ D
@@ -505,10 +550,18 @@ def d05_profit(t: DeliveryTables, price_col: str, prices: Mapping, rate: float =
 
 
 def d05_profit_intended(t: DeliveryTables, price_col: str, prices: Mapping, rate: float = 0.30) -> DataFrame:
-    """Revenue per item, distance paid once per delivered order (items aggregated to order grain first)."""
-    priced = t.customer_orders.join(t.pizza_names, "pizza_id")
-    per_order = priced.groupBy("order_id").agg(F.sum(price_map(price_col, prices)).alias("rev"))
-    j = per_order.join(_delivered(t, intended=True).select("order_id", _km_decimal().alias("km")), "order_id")
+    """Revenue per item, distance paid once per delivered order with an item on the menu.
+
+    Revenue needs items only as counts per pizza, as in D01. An order counts if
+    any of its pizzas is on the menu: (order, pizza) pairs meet the menu's ids,
+    and a semi-join by order keeps the runner rows.
+    """
+    delivered = _delivered(t, intended=True).select("order_id", _km_decimal().alias("km"))
+    pairs = t.customer_orders.groupBy("order_id", "pizza_id").agg(F.count(F.lit(1)).alias("n"))
+    menu = t.pizza_names.groupBy("pizza_id").agg(F.sum(price_map(price_col, prices)).alias("price"))
+    priced = pairs.join(menu, "pizza_id")
+    per_order = priced.groupBy("order_id").agg(F.sum(F.col("price") * F.col("n")).alias("rev"))
+    j = per_order.join(delivered, "order_id")
     return j.agg(_profit(F.sum("rev"), F.sum("km"), rate).alias("total_profit"))
 
 
