@@ -33,9 +33,10 @@ from tillroll.functions.text import (
     as_col, double_from_digits, has_value, int_from_digits, null_token, number_from_text, text_eq, text_ne, text_not_in,
 )
 from tillroll.operators import (
-    labelled_tokens, net_quantities, not_in, null_safe_join, pivot_counts, quantity_list, recipe_arrays, recipe_entries,
-    token_frequency, top_n_with_ties, topping_dictionary, variant_quantities,
+    daily_sketches, distinct_estimate, labelled_tokens, net_quantities, not_in, null_safe_join, pivot_counts, quantity_list, recipe_arrays, recipe_entries,
+    string_agg, token_frequency, top_n_with_ties, topping_dictionary, variant_quantities,
 )
+from tillroll.operators.distinct import near
 from tillroll.sources.tables import DeliveryTables
 
 VARIANT = ["pizza_id", "exclusions", "extras"]
@@ -78,6 +79,15 @@ def a02_distinct_orders(t: DeliveryTables) -> DataFrame:
     return t.customer_orders.agg(F.countDistinct("order_id").alias("unique_customer_orders"))
 
 
+def a02_distinct_orders_sketched(t: DeliveryTables) -> DataFrame:
+    """A02 from one sketch per order day, united, beside the exact count: whether it lies within three
+    standard errors."""
+    sketches = daily_sketches(t.customer_orders.withColumn("order_day", F.to_date("order_time")), "order_day", "order_id")
+    estimate = distinct_estimate(sketches, "order_day").scalar()
+    exact = F.col("unique_customer_orders")
+    return a02_distinct_orders(t).select(exact, near(estimate, exact).alias("estimate_holds"))
+
+
 def a03_delivered_per_runner(t: DeliveryTables) -> DataFrame:
     return (_delivered(t).groupBy("runner_id")
                          .agg(F.count("order_id").alias("delivered_orders"))
@@ -198,15 +208,18 @@ def b02_pickup_minutes(t: DeliveryTables) -> DataFrame:
 
     DISTINCT over a join of two projections equals the join of the two
     de-duplicated projections. Both sides are reduced to sets per order, so
-    each is shuffled once, by the key that they then join on.
+    each is shuffled once, by the key that they then join on. Rows without an
+    order id, which may be any number, meet no item: their runners only show.
     """
-    ro = (_delivered(t).groupBy("order_id").agg(F.collect_set(F.struct("runner_id", "pickup_time")).alias("__r"))
+    known = F.col("order_id").isNotNull()
+    ro = (_delivered(t).filter(known).groupBy("order_id").agg(F.collect_set(F.struct("runner_id", "pickup_time")).alias("__r"))
           .select("order_id", F.inline("__r")))
-    times = (t.customer_orders.groupBy("order_id").agg(F.collect_set("order_time").alias("__t"))
+    times = (t.customer_orders.filter(known).groupBy("order_id").agg(F.collect_set("order_time").alias("__t"))
              .select("order_id", F.explode("__t").alias("order_time")))
-    j = ro.join(times, "order_id", "left")
-    mins = minute_boundaries(F.col("order_time"), parse_timestamp("pickup_time"))
-    return (j.groupBy("runner_id").agg(F.avg(mins.cast("double")).alias("average_pickup_time"))
+    mins = minute_boundaries(F.col("order_time"), parse_timestamp("pickup_time")).cast("double")
+    per_order = ro.join(times, "order_id", "left").select("runner_id", mins.alias("mins"))
+    rest = _delivered(t).filter(~known).select("runner_id", F.lit(None).cast("double").alias("mins"))
+    return (per_order.unionByName(rest).groupBy("runner_id").agg(F.avg("mins").alias("average_pickup_time"))
              .orderBy("runner_id"))
 
 
@@ -274,10 +287,8 @@ def b07_success_rate(t: DeliveryTables) -> DataFrame:
 def c01_recipes(t: DeliveryTables) -> DataFrame:
     """Ingredient list per pizza name, ordered by topping id."""
     ent = recipe_entries(t.pizza_recipes, t.pizza_toppings)
-    return (t.pizza_names.select("pizza_id", "pizza_name").join(ent, "pizza_id")
-            .groupBy("pizza_name")
-            .agg(ordered_concat("topping_name", "topping_id").alias("ingredients"))
-            .orderBy("pizza_name"))
+    named = t.pizza_names.select("pizza_id", "pizza_name").join(ent, "pizza_id")
+    return string_agg(named, ["pizza_name"], "topping_name", ["topping_id"], out="ingredients").orderBy("pizza_name")
 
 
 def _list_frequency(t: DeliveryTables, list_col: str, out: str) -> DataFrame:

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import points
 from tillroll.operators import (
-    attach_membership, masked_dense_rank, most_frequent_per_key, null_safe_join, rows_at_extreme,
+    attach_membership, daily_sketches, distinct_estimate, masked_dense_rank, most_frequent_per_key, null_safe_join, rows_at_extreme,
 )
+from tillroll.operators.distinct import near
 from tillroll.sources.tables import LoyaltyTables
 
 
@@ -49,6 +50,15 @@ def l02_visit_days(t: LoyaltyTables) -> DataFrame:
                    .orderBy(*_pg_order("customer_id")))
 
 
+def l02_visit_days_sketched(t: LoyaltyTables) -> DataFrame:
+    """L02 from one sketch per customer and month, united, beside the exact count."""
+    sales = t.sales.select("customer_id", "order_date", F.trunc("order_date", "month").alias("month"))
+    estimate = distinct_estimate(daily_sketches(sales, "month", "order_date", ["customer_id"]), "month", ["customer_id"])
+    both = null_safe_join(l02_visit_days(t), estimate, ["customer_id"])
+    return both.select("customer_id", "total_visits", near(F.col("estimate"), F.col("total_visits")).alias("estimate_holds")) \
+               .orderBy(*_pg_order("customer_id"))
+
+
 def l03_first_day_items(t: LoyaltyTables) -> DataFrame:
     """Items bought on each customer's first day (ties and repeated rows kept)."""
     first = rows_at_extreme(t.sales, ["customer_id"], "order_date", "min")

@@ -22,7 +22,7 @@ from tillroll.plans import delivery as P
 from tillroll.plans import loyalty as L
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import testdata as TD
-from tillroll.sources.sinks import append_rows, overwrite_table
+from tillroll.sources.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 DECIMALS = 6
@@ -57,21 +57,30 @@ def _delivery(fn: Callable) -> Query:
     return run
 
 
-def _stored(table: Callable, rows: Callable | None = None) -> Query:
-    """Recreate the table of ``table`` in the shared folder, insert ``rows`` and read it back."""
+def _stored(write: Callable, name: str) -> Query:
+    """Run a write task on a store of its own in the shared folder and read a table back."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t, p = TD.delivery_tables(spark, sf_dir), TD.delivery_params()
-        base = table(t)
-        path = overwrite_table(base, f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}")
-        if rows is not None:
-            # The columns are named, as in INSERT: a longer value of theirs must not change the table's types.
-            new = rows(t, p)
-            append_rows(new.select(*[F.col(f.name).cast(f.dataType) for f in base.schema.fields]), path)
-        return normalise(spark.read.schema(base.schema).parquet(path))
-    run.__doc__ = table.__doc__
+        bases = {"pizza_names": t.pizza_names, "pizza_recipes": t.pizza_recipes.select("pizza_id", "toppings")}
+        store = TableStore(spark, f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}", bases)
+        write(store, t, p)
+        return normalise(store.read(name))
+    run.__doc__ = write.__doc__
     return run
 
 
+def _write_ratings(store: TableStore, t, p) -> None:
+    """The ratings table, recreated."""
+    store.replace({"customer_ratings": P.d03_ratings(t)})
+
+
+def _insert_pizza(store: TableStore, t, p) -> None:
+    """A pizza with every topping: its rows of both tables under one id, seen together; the tables stay in place."""
+    new_id = _both_ids(t, p)
+    store.insert({"pizza_names": P.e02_name_row(t, p.new_pizza_name, new_id),
+                  "pizza_recipes": P.e02_recipe_row(t, new_id)}, write_id=f"pizza-{new_id}")
+
+
 def _both_ids(t, p) -> int:
     """One id for both inserts of E02."""
     return p.new_pizza_id if p.new_pizza_id is not None else P.next_pizza_id(t)
@@ -81,6 +90,7 @@ QUERIES: dict[str, Query] = {
     # loyalty
     "L01": _loyalty(lambda t, p: L.l01_total_spend(t)),
     "L02": _loyalty(lambda t, p: L.l02_visit_days(t)),
+    "L02_sketch": _loyalty(lambda t, p: L.l02_visit_days_sketched(t)),
     "L03": _loyalty(lambda t, p: L.l03_first_day_items(t)),
     "L04": _loyalty(lambda t, p: L.l04_most_purchased(t)),
     "L05": _loyalty(lambda t, p: L.l05_favourite_items(t)),
@@ -95,6 +105,7 @@ QUERIES: dict[str, Query] = {
     # delivery: pizza metrics
     "A01": _delivery(lambda t, p: P.a01_items_ordered(t)),
     "A02": _delivery(lambda t, p: P.a02_distinct_orders(t)),
+    "A02_sketch": _delivery(lambda t, p: P.a02_distinct_orders_sketched(t)),
     "A03": _delivery(lambda t, p: P.a03_delivered_per_runner(t)),
     "A04": _delivery(lambda t, p: P.a04_delivered_by_type(t)),
     "A05a": _delivery(lambda t, p: P.a05a_by_customer_and_type(t)),
@@ -132,16 +143,14 @@ QUERIES: dict[str, Query] = {
     "D02": _delivery(lambda t, p: P.d02_revenue_with_extras(t, p.price_col, p.prices, p.extra_fee)),
     "D02_intended": _delivery(lambda t, p: P.d02_revenue_with_extras_intended(t, p.price_col, p.prices,
                                                                               p.extra_fee)),
-    "D03": _stored(P.d03_ratings),
+    "D03": _stored(_write_ratings, "customer_ratings"),
     "D04": _delivery(lambda t, p: P.d04_delivery_report(t)),
     "D04_intended": _delivery(lambda t, p: P.d04_delivery_report_intended(t)),
     "D05": _delivery(lambda t, p: P.d05_profit(t, p.price_col, p.prices, p.rate_per_km)),
     "D05_intended": _delivery(lambda t, p: P.d05_profit_intended(t, p.price_col, p.prices, p.rate_per_km)),
     # bonus: insert a pizza with every topping
-    "E02_names": _stored(lambda t: t.pizza_names,
-                         lambda t, p: P.e02_name_row(t, p.new_pizza_name, _both_ids(t, p))),
-    "E02_recipes": _stored(lambda t: t.pizza_recipes.select("pizza_id", "toppings"),
-                           lambda t, p: P.e02_recipe_row(t, _both_ids(t, p))),
+    "E02_names": _stored(_insert_pizza, "pizza_names"),
+    "E02_recipes": _stored(_insert_pizza, "pizza_recipes"),
 }
 
 FLAGSHIP = "L12"
