@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,6 +27,24 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+#: While a step is written: the driver keeps the plan texts of past queries, which in a long session of
+#: many steps would be most of its memory.
+SHORT_PLANS = {"spark.sql.ui.explainMode": "simple", "spark.sql.maxPlanStringLength": "2000"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block."""
+    old = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return it as read back: lineage ends there,
     so a lost executor repeats reads, not the steps before."""
@@ -34,7 +53,8 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(partition_by)
-    w.parquet(path)
+    with settings(spark, SHORT_PLANS):
+        w.parquet(path)
     schema = df.schema
     return spark.read.schema(schema).parquet(path)
 
@@ -120,21 +140,21 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         else:
             out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
                 low.select("u", F.col("m").alias("v")))
-        return out.filter(F.col("u") != F.col("v")).distinct()
+        return out.filter(F.col("u") != F.col("v"))
 
-    cur = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u <> v")
-    cur = materialise(cur.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
-
-    def digest(e):
-        r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return r[0], r[1]
+    def written(e):
+        """The distinct edges as written, and their count and digest, observed while they are."""
+        seen = Observation()
+        digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        out = materialise(e.distinct().observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "cc")
+        return out, (seen.get["n"], seen.get["digest"])
 
-    before = digest(cur)
+    cur = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u <> v")
+    cur, before = written(cur.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     for _ in range(max_rounds):
         if not before[0]:
             break
-        cur = materialise(star(star(cur, True), False), "cc")
-        after = digest(cur)
+        cur, after = written(star(star(cur, True), False))
         if after == before:
             break
         before = after

@@ -248,7 +248,11 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage_limit: float = COVERAGE_LIMIT) -> DataFrame:
     """``docs`` without the hit spans; documents hit beyond the limit are dropped. n_chars, if
     there, follows the text. Clean documents stay as they are."""
-    found = find(docs, items, window)
+    # Other columns pass through under names of their own, whatever the work columns are called.
+    names = [c if c in ("doc_id", "text") else f"__c{k}" for k, c in enumerate(docs.columns)]
+    chars = names[docs.columns.index("n_chars")] if "n_chars" in docs.columns else None
+    work = docs.toDF(*names)
+    found = find(work, items, window)
 
     def cut(batches):
         for rows, texts in row_chunks(batches):
@@ -264,11 +268,10 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage_limi
                     out.append(text)
                 held = rows.column("text").is_null().to_pylist()
                 rows = replace_column(rows, "text", [None if h else t for h, t in zip(held, out)])
-                if "n_chars" in rows.schema.names:
-                    was = rows.column("n_chars").to_pylist()
-                    rows = replace_column(rows, "n_chars", [len(t) if s else c for t, s, c in zip(out, spans, was)])
+                if chars:
+                    was = rows.column(chars).to_pylist()
+                    rows = replace_column(rows, chars, [len(t) if s else c for t, s, c in zip(out, spans, was)])
                 rows = rows.filter(pa.array(keep))
             yield rows.select(names)
 
-    names = [c for c in docs.columns]
-    return found.mapInArrow(cut, docs.schema)
+    return found.mapInArrow(cut, work.schema).toDF(*docs.columns)

@@ -189,8 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, vectors, sample: int = SAMPLE) -> Ne
             yield table_batch({"doc_id": b.column("doc_id"), "quality": b.column("quality"),
                                "x": [r.tobytes() for r in pool(texts, vectors.value)]}, schema)
 
-    # A repeated document row would make the sample longer than its bound.
-    got = rows.mapInArrow(step, "doc_id bigint, quality int, x binary").dropDuplicates(["doc_id", "quality"]).collect()
+    # A repeated document row would make the sample longer than its bound; of several texts the least counts.
+    got = rows.mapInArrow(step, "doc_id bigint, quality int, x binary").groupBy("doc_id", "quality").agg(F.min("x")).collect()
     got.sort(key=lambda r: (r[0], r[1]))
     x = np.array([np.frombuffer(r[2], np.float32) for r in got], np.float64).reshape(len(got), 2 * WIDTH)
     return Network(x, np.array([r[1] for r in got], np.float64), np.array([zlib.crc32(b"t%d" % r[0]) % 5 == 0 for r in got], bool))
@@ -218,5 +218,6 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """``docs`` without those that are predicted 0."""
-    return score(docs, labels, cutoff).filter("predicted = 1").select(*docs.columns)
+    """``docs`` without those that are predicted 0. Columns of any names pass through."""
+    work = [c if c in ("doc_id", "text") else f"__c{k}" for k, c in enumerate(docs.columns)]
+    return score(docs.toDF(*work), labels, cutoff).filter("predicted = 1").select(*work).toDF(*docs.columns)

@@ -48,11 +48,13 @@ KEY_FORMAT = (r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|gh[p
 KEY_WORD = r"(?i)(secret|token|passwd|password|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential)"
 OTHER_WORD = r"(?i)(commit|sha-?[0-9]*|md5|hash|checksum|digest|uuid|version|isbn|card|invoice|order|build|revision)\W*$"
 IDENTIFIER = r"(?i)^[0-9_+/-]+$|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^[0-9]{4}-[0-9]{2}-[0-9]{2}.*$"
-#: What goes before an assigned value.
-ASSIGN = (r"(?i:(?:secret(?!ar)|token(?!i[sz])|passwd|password|pwd|api[_-]?key|access[_-]?key|auth(?!ors?(?![a-z]))|bearer|credential)[\w-]*+"
-          r"\\?[\"']?(?:\s*+(?::=|=>|={1,3}|:)\s*+|>)(?:(?:bearer|basic|token)\s++)?)")
+#: What goes before an assigned value: a key word with what belongs to its name, and a sign. A name is tried
+#: once, from its first character, however many key words it holds.
+KEYED = r"(?:secret(?!ar)|token(?!i[sz])|passwd|password|pwd|api[_-]?key|access[_-]?key|auth(?!ors?(?![a-z]))|bearer|credential)"
+SIGN = r"[\w-]*+\\?[\"']?(?:\s*+(?::=|=>|={1,3}|:)\s*+|>)(?:(?:bearer|basic|token)\s++)?"
+ASSIGN = rf"(?i:(?<![\w-])(?>[\w-]*?{KEYED}){SIGN})"
 #: The value, in quotes or as the docstring says; a key that follows is none.
-VALUE = f"(?![\"']?{ASSIGN}|[\"']?[\\w-]++[\"']?:\\s)" + r"(?:\"[^\"\r\n]++\"|'[^'\r\n]++'|(?:(?!&[\w.-]+=|[,;]\s*+[\"']?[\w-]+[\"']?\s*+[:=]|</)\S)++)"
+VALUE = f"(?![\"']?(?i:{KEYED}{SIGN})|[\"']?[\\w-]++[\"']?:\\s)" + r"(?:\"[^\"\r\n]++\"|'[^'\r\n]++'|(?:(?!&[\w.-]+=|[,;]\s*+[\"']?[\w-]+[\"']?\s*+[:=]|</)\S)++)"
 #: A URL up to its password.
 URL = r"://[^\s/:@]*+:"
 FEATURES = ["length", "digits", "uppers", "lowers", "hex", "changes", "pair_log", "covered", "path", "assigned", "key_word", "other_word", "quoted", "known_format"]
@@ -73,22 +75,27 @@ def url_password(match):
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """row, doc_id, found (distinct values and texts before them, and whether they are assigned); written to the shared folder."""
+    """row, doc_id, digest (of the text), found (distinct values and texts before them, and whether they
+    are assigned); written to the shared folder."""
     def every(pattern):
         return F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
 
-    def places(pattern):
-        """Every match with the ``CONTEXT`` characters before it."""
-        between = F.split("text", pattern, -1)
-        matches = every(pattern)
-        # Matches are of 16 characters or more: the three before reach back far enough.
-        tails = F.transform(between, lambda s, k: F.right(F.concat(F.right(s, F.lit(CONTEXT)), F.coalesce(F.get(matches, k), F.lit(""))), F.lit(CONTEXT)))
-        return F.transform(matches, lambda v, k: F.struct(v.alias("value"), F.right(F.concat_ws("", *(
-            F.get(tails, k - d) for d in (3, 2, 1)), F.get(between, k)), F.lit(CONTEXT)).alias("before"), F.lit(False).alias("assigned")))
+    def places(p):
+        """Every match with the ``CONTEXT`` characters before it, from columns that hold one pattern's matches,
+        the texts between them and the tails of both: each is made once for a text, not for every match."""
+        return F.transform(f"{p}_m", lambda v, k: F.struct(v.alias("value"), F.right(F.concat_ws("", *(
+            F.get(f"{p}_t", k - d) for d in (3, 2, 1)), F.get(f"{p}_b", k)), F.lit(CONTEXT)).alias("before"), F.lit(False).alias("assigned")))
 
+    patterns = {"key": KEY_FORMAT, "long": LONG_TOKEN}
+    rows = id_and_text(docs).withColumn("digest", F.md5("text"))
+    for p, pattern in patterns.items():
+        rows = rows.withColumn(f"{p}_m", every(pattern)).withColumn(f"{p}_b", F.split("text", pattern, -1))
+        # Matches are of 16 characters or more: the three before reach back far enough.
+        rows = rows.withColumn(f"{p}_t", F.transform(f"{p}_b", lambda s, k: F.right(F.concat(  # noqa: B023
+            F.right(s, F.lit(CONTEXT)), F.coalesce(F.get(f"{p}_m", k), F.lit(""))), F.lit(CONTEXT))))
     found = F.concat(F.transform(F.array_distinct(every(ASSIGN + VALUE)), assigned_value),
-                     F.transform(F.array_distinct(every(URL + r"[^\s/]+@")), url_password), places(KEY_FORMAT), places(LONG_TOKEN))
-    rows = id_and_text(docs).select("doc_id", F.array_distinct(F.filter(found, lambda x: x.value != "")).alias("found"))
+                     F.transform(F.array_distinct(every(URL + r"[^\s/]+@")), url_password), *map(places, patterns))
+    rows = rows.select("doc_id", "digest", F.array_distinct(F.filter(found, lambda x: x.value != "")).alias("found"))
     return materialise(rows.withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
 
 
@@ -108,9 +115,9 @@ def letter_pairs(words: DataFrame) -> DataFrame:
 
 
 def features(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """row, doc_id, value and FEATURES of every candidate at every place."""
-    at = found.select("row", "doc_id", F.explode("found").alias("f"))
-    at = materialise(at.select("row", "doc_id", "f.value", "f.before", F.col("f.assigned").alias("named")), "secret-findings")
+    """row, doc_id, digest, value and FEATURES of every candidate at every place."""
+    at = found.select("row", "doc_id", "digest", F.explode("found").alias("f"))
+    at = materialise(at.select("row", "doc_id", "digest", "f.value", "f.before", F.col("f.assigned").alias("named")), "secret-findings")
     v, n = F.col("value"), F.length("value")
     share = lambda p: F.regexp_count("value", F.lit(p)) / n
     assigned = F.col("before").rlike(KEY_WORD.replace("(?i)", "(?i)\\b\\w*") + r"\w*[\"']?\s*(:|=|:=|=>)\s*[\"']?$")
@@ -146,7 +153,7 @@ def rule_labels(findings: DataFrame) -> DataFrame:
 def by_value(judged: DataFrame) -> DataFrame:
     """One row for each value of a document: that of the place which is most a secret."""
     best = F.max(F.struct("secret", "score", "label", *FEATURES)).alias("x")
-    return judged.groupBy("row", "doc_id", "value").agg(best).select("row", "doc_id", "value", "x.*")
+    return judged.groupBy("row", "doc_id", "digest", "value").agg(best).select("row", "doc_id", "digest", "value", "x.*")
 
 
 def judge(docs: DataFrame, labelled: DataFrame | None = None, cutoff: float = CUTOFF) -> tuple[DataFrame, DataFrame]:
@@ -189,9 +196,11 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     common = (F.length(v) < 4) | ((F.col("covered") >= 1) & v.rlike("^[A-Za-z]+$") & (F.length(v) < 16))
     pattern = F.when(common, F.concat(F.lit(f"((?:{ASSIGN}\\\\?[\"']?|{URL}))"), exact, F.lit("(?![A-Za-z0-9])"))) \
         .when(F.length(v) < 16, F.concat(F.lit("()(?<![A-Za-z0-9])"), exact, F.lit("(?![A-Za-z0-9])"))).otherwise(F.concat(F.lit("()"), exact))
-    secrets = judged.filter("secret").groupBy(F.col("doc_id").alias("__id")).agg(F.transform(
+    # By id and text: rows that share an id, or have none, keep their own secrets.
+    secrets = judged.filter("secret").groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).agg(F.transform(
         F.sort_array(F.collect_set(F.struct(F.length(v).alias("n"), "value", pattern.alias("p"))), asc=False), lambda x: x.p).alias("__secrets"))  # longest first
-    rows = docs.join(secrets, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
+    own = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = docs.join(secrets, (own == F.col("__digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
     clean = F.aggregate("__secrets", F.col("text"), lambda t, p: F.regexp_replace(t, p, F.lit("$1[SECRET]")))
     rows = rows.withColumn("text", F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:

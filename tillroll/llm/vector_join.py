@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import connected_components, forest, materialise
+from tillroll.llm.common import connected_components, forest, materialise, sql_partitions
 
 THRESHOLD, SAMPLE, ROUNDS = 0.98, 8192, 12
 #: Representatives wanted in a cell; the codebooks' size follows from the count of representatives.
@@ -142,7 +142,7 @@ def join(vectors: DataFrame, threshold: float = THRESHOLD, target_recall: float
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"), F.col("label").cast("string").alias("label"))
     finite = ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("vector", lambda x: x != 0)
     rows = rows.withColumn("fp", F.when(F.col("label").isNotNull() & F.coalesce(finite, F.lit(False)),
-                                        F.sha2(F.concat_ws("|", F.col("label"), F.transform("vector", lambda x: (x + 0.0).cast("string"))).cast("binary"), 256)))
+                                        F.sha2(F.concat_ws("|", F.length("label"), F.col("label"), F.transform("vector", lambda x: (x + 0.0).cast("string"))).cast("binary"), 256)))
     ids = materialise(rows.select("vec_id", "fp", "label", "vector"), "vectors")
     reps = materialise(ids.filter("fp is not null").groupBy("fp").agg(
         F.min("vec_id").alias("min_id"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector"))
@@ -164,7 +164,9 @@ def join(vectors: DataFrame, threshold: float = THRESHOLD, target_recall: float
     mine = lambda n: F.pmod(F.xxhash64("rid"), F.col(n))
     spread = spread.filter("member").withColumn("mi", mine("ms")).withColumn("vi", ranges("vs")).unionByName(
         spread.filter("not member").withColumn("vi", mine("vs")).withColumn("mi", ranges("ms")))
-    found = materialise(spread.drop("ms", "vs").groupBy(*key, "mi", "vi").applyInPandas(_verify(threshold), "a bigint, b bigint, links bigint"), "vector-links")
+    # Dealt by all five, else a hot cell's blocks would stay together as the join by cell left them.
+    spread = spread.drop("ms", "vs").repartition(sql_partitions(spark), *key, "mi", "vi")
+    found = materialise(spread.groupBy(*key, "mi", "vi").applyInPandas(_verify(threshold), "a bigint, b bigint, links bigint"), "vector-links")
     links = found.filter("b is null").groupBy(F.col("a").alias("rid")).agg(F.sum("links").alias("links"))
     linked = connected_components(found.filter("b is not null")).withColumnRenamed("node", "rid")
     named = reps.select("rid", "fp", "min_id", "copies").join(linked, "rid", "left").join(links, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
