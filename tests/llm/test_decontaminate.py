@@ -75,3 +75,14 @@ def test_one_part_of_the_items_at_a_time(spark, monkeypatch):
     found = D.find(d, i, 4, limit=40).collect()
     assert len(most) > 3 and max(most) == 0  # none is left in the driver when the next is built
     assert all([tuple(s) for s in r.spans] == [(1, 5)] and r.item_ids == [str(r.doc_id)] for r in found)
+
+
+def test_clean_keeps_columns_of_clashing_names(spark):
+    item = "one two three four five six seven eight nine ten eleven"
+    rows = [(1, "spans 1", -5, f"before {item} after " + "word " * 60, 0, "x"), (2, "spans 2", -6, "clean text", 3, None), (3, None, None, None, None, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, spans string, n_words int, text string, n_chars long, item_ids string")
+    items = spark.createDataFrame([("i", item)], "item_id string, text string")
+    got = {r.doc_id: r for r in D.clean(docs, items).collect()}
+    assert D.clean(docs, items).columns == docs.columns and tuple(got[2]) == rows[1] and tuple(got[3]) == rows[2]
+    assert got[1].spans == "spans 1" and got[1].n_words == -5 and got[1].item_ids == "x"
+    assert "seven" not in got[1].text and got[1].n_chars == len(got[1].text)

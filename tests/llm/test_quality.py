@@ -23,3 +23,13 @@ def test_cases(spark):
     assert Q.keep(docs, labels).columns == docs.columns
     assert {r.score for r in Q.report(docs, labels.limit(0)).collect()} == {0.5}
     assert Q.report(docs.limit(0), labels).count() == 0
+
+
+def test_keep_returns_columns_of_clashing_names(spark):
+    rows = [(k, "good words here " * 9 if k % 2 else "x1 !! zz " * 9, -7.0, "p") for k in range(200)] + [(3, "another text", -7.0, "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, predicted string")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(200)], "doc_id long, quality int, toxic int")
+    kept = Q.keep(docs, labels)
+    got = kept.collect()
+    assert kept.columns == docs.columns and got and {(r.score, r.predicted) for r in got} == {(-7.0, "p")}
+    assert sorted(map(tuple, got)) == sorted(map(tuple, Q.keep(docs.orderBy(F.rand(1)), labels).collect()))  # whatever the order of the rows

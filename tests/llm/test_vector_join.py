@@ -40,3 +40,9 @@ def test_join_equals_brute_force(spark, block, cell, monkeypatch):
     few = V.join(df, target_recall=0.9).collect()
     assert sum(x.n_links for x in few) >= 0.9 * sum(x[1] for x in got)
     assert V.join(df.limit(0)).count() == 0
+
+
+def test_labels_are_not_mixed_with_components(spark):
+    rows = [(1, [2.0], "a|1.0"), (2, [1.0, 2.0], "a"), (3, [2.0], "1|a"), (4, [1.0, 2.0], "a")]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in V.join(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got == {1: (0, 1), 2: (1, 2), 3: (0, 3), 4: (1, 2)}
