@@ -172,7 +172,8 @@ def judge(docs: DataFrame, labelled: DataFrame | None = None, cutoff: float = CU
         return found, by_value(rows.withColumn("score", F.coalesce("label", F.lit(0.0))).withColumn("secret", F.col("score") >= cutoff))
     vector = VectorAssembler(inputCols=FEATURES, outputCol="vector")
     forest = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=11)
-    model = forest.fit(vector.transform(sample))
+    # The copy has no training summary, whose session can't be sent to tasks once it has observed a query.
+    model = forest.fit(vector.transform(sample)).copy()
     judged = model.transform(vector.transform(rows)).withColumn("score", vector_to_array("probability")[1])
     return found, by_value(judged.withColumn("secret", (F.col("score") >= cutoff) | (F.col("known_format") == 1)))
 
