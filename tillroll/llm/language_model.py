@@ -150,6 +150,38 @@ def _add_up(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows)
 
 
+class Automaton:
+    """The part of the backoff automaton that a block can reach.
+
+    States are the block's words as contexts, then START; the root is the state
+    after a failure. An arc is a bigram seen in training: (state, word) leads to
+    the word's state. What has no arc takes the state's failure arc to the root,
+    which has an arc for every word. Weights are log10 probabilities.
+    """
+
+    def __init__(self, words: np.ndarray, total: int, types: int, backoff: float):
+        """``words``: training counts of the block's words, END last."""
+        p = (words + SMOOTHING) / (total + SMOOTHING * (types + 1))
+        context = np.append(words, words[-1])  # START has gone on as often as END came
+        self.root, self.fail = np.log10(p), np.log10(backoff / (context + backoff))
+        self._p, self._context, self._backoff, self.start = p, context, backoff, len(words)
+
+    def states(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The state carried to each token, from left to right: its text's start, then the last word's."""
+        state = np.concatenate([ids[:1], ids[:-1]])
+        state[offsets[:-1]] = self.start
+        return state
+
+    def add_arcs(self, state: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Weights of the arcs (state, word) seen ``count`` times; NaN: no arc."""
+        weight = np.log10((count + self._backoff * self._p[word]) / (self._context[state] + self._backoff))
+        return np.where(count > 0, weight, np.nan)
+
+    def traverse(self, state: np.ndarray, word: np.ndarray, arc: np.ndarray) -> np.ndarray:
+        """What each token adds: its arc's weight, or the failure arc's and the root's."""
+        return np.where(np.isnan(arc), self.fail[state] + self.root[word], arc)
+
+
 def _score(total: int, types: int, backoff: float):
     def step(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         answers = answers.sort_values(["kind", "shard"])
@@ -158,21 +190,21 @@ def _score(total: int, types: int, backoff: float):
         ids, offsets, hashes = d["ids"].astype(np.int32), d["offsets"], d["hashes"].view(np.uint64)
         known = np.zeros(len(hashes))
         known[np.argsort(hashes)] = count[1]
-        c = known[ids]
-        root = (c + SMOOTHING) / (total + SMOOTHING * (types + 1))
-        # The state before each token: its context's count. START has gone on as often as END came.
-        state = np.concatenate([c[:1], c[:-1]])
-        state[offsets[:-1]] = known[-1]
+        machine = Automaton(known, total, types, backoff)
+        state = machine.states(ids, offsets)
         bigrams = _bigrams(ids, offsets, hashes)
-        arc = count[2][np.searchsorted(np.unique(bigrams), bigrams)]
-        fail = backoff / (state + backoff)  # no arc: the failure arc, then the root's
-        weight = np.where(arc > 0, (arc + backoff * root) / (state + backoff), fail * root)
+        which = np.searchsorted(np.unique(bigrams), bigrams).astype(np.int32)
+        del bigrams
+        some = np.empty(len(count[2]), np.int32)  # a place of each bigram
+        some[which] = np.arange(len(which), dtype=np.int32)
+        arcs = machine.add_arcs(state[some], ids[some], count[2])
+        base, weight = machine.root[ids], machine.traverse(state, ids, arcs[which])
         begins = offsets[:-1]
         out = pd.DataFrame({"doc_id": pd.array(d["doc"], "Int64"), "held_out": d["held"] > 0, "n_tokens": np.diff(offsets),
-                            "n_known": np.add.reduceat((c > 0).astype(np.int64), begins), "train_tokens": total,
-                            "base_score": np.add.reduceat(np.log10(root), begins), "score": np.add.reduceat(np.log10(weight), begins)})
+                            "n_known": np.add.reduceat((known[ids] > 0).astype(np.int64), begins), "train_tokens": total,
+                            "base_score": np.add.reduceat(base, begins), "score": np.add.reduceat(weight, begins)})
         out.loc[d["null"] > 0, "doc_id"] = pd.NA
-        del c, root, state, bigrams, arc, fail, weight, ids, known, count
+        del machine, state, some, which, arcs, base, weight, ids, known, count
         release_memory()
         return out
     return step
