@@ -143,8 +143,13 @@ def _grow(trees: int):
     return step
 
 
-def _neighbours(batches):
-    """Links (a, b, depth) of neighbours in one task's sorted labels, and its first and last row with b null."""
+def _neighbours(least: int):
+    """Links (a, b, depth) of neighbours in one task's sorted labels that share at least that prefix, and its
+    first and last row with b null."""
+    return lambda batches: _neighbours_of(batches, least)
+
+
+def _neighbours_of(batches, least):
     from pyspark import TaskContext
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("depth", pa.int32()), ("tree", pa.int32()), ("label", pa.binary()), ("part", pa.int32())])
     part, last = TaskContext.get().partitionId(), None
@@ -164,7 +169,7 @@ def _neighbours(batches):
             tree, rid = np.append(last[0], tree), np.append(last[2], rid)
             label = np.concatenate([np.frombuffer(last[1], ">u2")[None], label])
         depth = shared_prefix(label[1:], label[:-1]) * (tree[1:] == tree[:-1])
-        at = np.flatnonzero(depth)
+        at = np.flatnonzero(depth >= least)
         yield table_batch({"a": rid[at + 1], "b": rid[at], "depth": depth[at].astype(np.int32), "tree": tree[at].astype(np.int32),
                            "label": pa.nulls(len(at), pa.binary()), "part": np.full(len(at), part, np.int32)}, schema)
         last = int(tree[-1]), raw[-1], int(rid[-1])
@@ -172,26 +177,29 @@ def _neighbours(batches):
         yield end(*last)
 
 
-def forest_links(reps: DataFrame, trees: int) -> DataFrame:
-    """(a, b, depth) of neighbours of all trees; written to the shared folder."""
+def forest_links(reps: DataFrame, trees: int, least: int = 1) -> DataFrame:
+    """(a, b, depth) of neighbours of all trees with prefixes of ``least`` values or more; written to the shared folder."""
     spark = reps.sparkSession
     rows = reps.select("rid", "labels").mapInArrow(_grow(trees), "tree int, label binary, rid bigint")
     ordered = rows.repartitionByRange(sql_partitions(spark), "tree", "label", "rid").sortWithinPartitions("tree", "label", "rid")
-    links = materialise(ordered.mapInArrow(_neighbours, "a bigint, b bigint, depth int, tree int, label binary, part int"), "jaccard-forest")
+    links = materialise(ordered.mapInArrow(_neighbours(least), "a bigint, b bigint, depth int, tree int, label binary, part int"), "jaccard-forest")
     # Neighbours across tasks: two rows of each task.
     ends = sorted(links.filter("b is null").select("part", "tree", "label", "a").collect(), key=lambda r: (r.part, r.tree, bytes(r.label), r.a))
     across = []
     for x, y in zip(ends, ends[1:]):
         if x.part != y.part and x.tree == y.tree:
             depth = int(shared_prefix(np.frombuffer(x.label, ">u2"), np.frombuffer(y.label, ">u2")))
-            across.append((y.a, x.a, depth))
+            if depth >= least:
+                across.append((y.a, x.a, depth))
     more = spark.createDataFrame(across, "a bigint, b bigint, depth int")
     return links.filter("b is not null").select("a", "b", "depth").unionByName(more)
 
 
 def depth_counts(reps: DataFrame, threshold: float, trees: int) -> dict[int, int]:
     """Of all pairs at the threshold between a sample of sets and any other, how many share which longest prefix."""
-    taken = reps.filter(F.col("n_shingles") <= SAMPLE_SHINGLES).orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("rid", "labels", "shingles").collect()
+    # First which, by id alone: a task would send its own least rows whole.
+    least = reps.filter(F.col("n_shingles") <= SAMPLE_SHINGLES).select("rid", "fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
+    taken = reps.filter(F.col("rid").isin([r.rid for r in least])).select("rid", "labels", "shingles").collect() if least else []
     if not taken:
         return {}
     sets = [_unpack(r.shingles) for r in taken]
@@ -291,8 +299,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, target_recall: float
         F.first("n_shingles").alias("n_shingles"), F.first("shingles").alias("shingles"))
         .withColumn("rid", F.monotonically_increasing_id()), "jaccard-reps")
     depth = adapted_depth(depth_counts(reps, threshold, trees), prefix_depth(threshold, target_recall, trees))
-    chains = forest_links(reps, trees).filter(F.col("depth") >= depth)
-    members = materialise(connected_components(chains).withColumnRenamed("node", "rid"), "jaccard-candidates")
+    members = materialise(connected_components(forest_links(reps, trees, depth)).withColumnRenamed("node", "rid"), "jaccard-candidates")
 
     # Small components share a bin of bounded size; large ones are dealt as pairs of chunks.
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
