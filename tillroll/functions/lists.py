@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillroll.functions.text import as_col
+from tillroll.functions.text import as_col, binary_text
 
 
 def split_tokens(c, sep: str = ",") -> Column:
     """``'1, 5'`` -> ``['1', '5']`` (each token trimmed). NULL stays NULL, ``''`` gives ``['']``."""
-    return F.transform(F.split(as_col(c), sep), lambda t: F.trim(t))
+    return F.transform(F.split(binary_text(c), sep), lambda t: F.trim(t))
 
 
 def int_tokens(c, sep: str = ",", distinct: bool = False) -> Column:

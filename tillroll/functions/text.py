@@ -24,6 +24,11 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def binary_text(c) -> Column:
+    """The text without a declared collation, for what reads its characters (patterns, splits, numbers)."""
+    return F.collate(as_col(c), "UTF8_BINARY")
+
+
 def null_token(c) -> Column:
     """Trimmed text, or NULL when the value is NULL, blank or a 'null' marker."""
     t = F.trim(as_col(c))
@@ -57,7 +62,7 @@ def text_not_in(c, *literals: str) -> Column:
 
 def strip_unit(c, unit: str) -> Column:
     """Remove every occurrence of ``unit`` (case-insensitive), like REPLACE under a CI collation."""
-    return F.regexp_replace(as_col(c), "(?i)\\Q" + unit + "\\E", "")
+    return F.regexp_replace(binary_text(c), "(?i)\\Q" + unit + "\\E", "")
 
 
 def number_from_text(c, unit: str = "km") -> Column:
@@ -67,7 +72,7 @@ def number_from_text(c, unit: str = "km") -> Column:
 
 def digits_only(c) -> Column:
     """Drop ASCII letters and blanks: ``'32 minutes'`` -> ``'32'``, ``'25mins'`` -> ``'25'``."""
-    return F.regexp_replace(as_col(c), "[A-Za-z ]", "")
+    return F.regexp_replace(binary_text(c), "[A-Za-z ]", "")
 
 
 def int_from_digits(c) -> Column:

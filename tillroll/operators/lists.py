@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.lists import int_tokens, split_tokens
-from tillroll.functions.text import null_token
+from tillroll.functions.text import binary_text, null_token
 
 
 def explode_tokens(df: DataFrame, list_col: str, out: str = "token", keep: Sequence[str] = ()) -> DataFrame:
@@ -97,7 +97,7 @@ def labelled_tokens(texts: DataFrame, text_col: str, toppings: DataFrame, id_col
     without a matching id keeps its text; a duplicated id in the dimension uses
     its smallest name. Runs over distinct texts only.
     """
-    names = toppings.groupBy(id_col).agg(F.min(name_col).alias("__name"))
+    names = toppings.groupBy(id_col).agg(F.min(binary_text(name_col)).alias("__name"))
     toks = (texts.select(text_col).distinct()
                  .select(text_col, F.posexplode(split_tokens(text_col)).alias("__pos", "__tok"))
                  .filter(F.col("__tok") != ""))
@@ -118,7 +118,8 @@ def topping_dictionary(toppings: DataFrame, id_col: str = "topping_id", name_col
     lower case); None if there are more than ``most``, which is checked on the table as it stands."""
     if toppings.select(F.lit(1)).limit(most + 1).count() > most:
         return None
-    entry = F.struct(F.lower(name_col).alias("k0"), F.col(name_col).alias("k1"), F.col(id_col).alias("id"))
+    name = binary_text(name_col)
+    entry = F.struct(F.lower(name).alias("k0"), name.alias("k1"), F.col(id_col).alias("id"))
     return toppings.agg(F.array_sort(F.collect_list(entry)).alias("d")).scalar()
 
 

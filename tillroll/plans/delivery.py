@@ -30,7 +30,7 @@ from tillroll.functions.temporal import (
     weekday_name, weekday_number,
 )
 from tillroll.functions.text import (
-    as_col, double_from_digits, has_value, int_from_digits, null_token, number_from_text, text_eq, text_ne, text_not_in,
+    as_col, binary_text, double_from_digits, has_value, int_from_digits, null_token, number_from_text, text_eq, text_ne, text_not_in,
 )
 from tillroll.operators import (
     daily_sketches, distinct_estimate, labelled_tokens, net_quantities, not_in, null_safe_join, pivot_counts, quantity_list, recipe_arrays, recipe_entries,
@@ -212,7 +212,7 @@ def b02_pickup_minutes(t: DeliveryTables) -> DataFrame:
     order id, which may be any number, meet no item: their runners only show.
     """
     known = F.col("order_id").isNotNull()
-    ro = (_delivered(t).filter(known).groupBy("order_id").agg(F.collect_set(F.struct("runner_id", "pickup_time")).alias("__r"))
+    ro = (_delivered(t).filter(known).groupBy("order_id").agg(F.collect_set(F.struct("runner_id", binary_text("pickup_time").alias("pickup_time"))).alias("__r"))
           .select("order_id", F.inline("__r")))
     times = (t.customer_orders.filter(known).groupBy("order_id").agg(F.collect_set("order_time").alias("__t"))
              .select("order_id", F.explode("__t").alias("order_time")))
@@ -342,7 +342,7 @@ def c04_order_item_labels_intended(t: DeliveryTables) -> DataFrame:
     items = co.join(t.pizza_names, "pizza_id").select("order_id", "pizza_name", *lists)
     items = items.withColumn("spread", F.when(~any_list, F.coalesce(F.col("order_id").cast("string"), F.lit(""))))
     j = null_safe_join(items, ends, ["exclusions", "extras", "spread"], "left")
-    return (j.select("order_id", F.concat("pizza_name", F.coalesce("end", F.lit(""))).alias("order_item"))
+    return (j.select("order_id", F.concat(binary_text("pizza_name"), F.coalesce("end", F.lit(""))).alias("order_item"))
              .orderBy("order_id", "order_item"))
 
 
@@ -440,7 +440,7 @@ def c05_ingredient_lists_intended(t: DeliveryTables) -> DataFrame:
     changed = null_token("exclusions").isNotNull() | null_token("extras").isNotNull()
     text = F.when(changed, quantity_list(_net())).otherwise(F.col("plain"))
     return (t.customer_orders.select("order_id", *VARIANT).join(menu, "pizza_id").withColumn("dictionary", dictionary)
-             .select("order_id", F.concat("pizza_name", F.lit(": "), text).alias("ingredient_list"))
+             .select("order_id", F.concat(binary_text("pizza_name"), F.lit(": "), text).alias("ingredient_list"))
              .orderBy("order_id", "ingredient_list"))
 
 

@@ -6,11 +6,17 @@ in tests, the parquet adapters in ``testdata``) is up to the caller.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Text compares by lower case and without trailing blanks, as the delivery dialect's servers do by default.
+SERVER_COLLATION = "UTF8_LCASE_RTRIM"
+Tables = TypeVar("Tables")
+
 # Declared schemas of the two domains (all columns nullable, no keys guaranteed).
 SALES = T.StructType([
     T.StructField("customer_id", T.StringType()),
@@ -86,3 +92,11 @@ class DeliveryTables:
     pizza_toppings: DataFrame
     runners: DataFrame
     customer_ratings: DataFrame
+
+
+def collated(tables: Tables, collation: str = SERVER_COLLATION) -> Tables:
+    """The same tables with every text column under a collation: it then holds in comparisons, GROUP BY,
+    DISTINCT, joins and ORDER BY of any plan, and a merged group shows one of its spellings."""
+    def declared(df: DataFrame) -> DataFrame:
+        return df.select(*[F.collate(f"`{c}`", collation).alias(c) if kind.startswith("string") else F.col(f"`{c}`") for c, kind in df.dtypes])
+    return replace(tables, **{f.name: declared(getattr(tables, f.name)) for f in fields(tables)})
