@@ -243,19 +243,20 @@ def b03_prep_minutes_by_size(t: DeliveryTables) -> DataFrame:
 def b04_distance_per_customer(t: DeliveryTables) -> DataFrame:
     """As written: averaged per item row and scaled by 0.1."""
     items = t.customer_orders.groupBy("order_id", "customer_id").agg(F.count(F.lit(1)).alias("n"))
-    j = items.join(_delivered(t).select("order_id", number_from_text("distance").alias("km")), "order_id")
-    scaled = F.col("km") * F.lit(0.1)
-    avg = (F.sum(scaled * F.col("n")) / F.sum(F.when(F.col("km").isNotNull(), F.col("n"))))
-    return (j.groupBy("customer_id").agg(avg.cast("double").alias("average_distance_km"))
+    j = items.join(_delivered(t).select("order_id", _km_decimal().alias("km")), "order_id")
+    # Summed exactly: in doubles the last digits would depend on the order of the tasks.
+    total = F.sum(F.col("km") * F.col("n").cast("decimal(10,0)")).cast("double")
+    avg = total * F.lit(0.1) / F.sum(F.when(F.col("km").isNotNull(), F.col("n")))
+    return (j.groupBy("customer_id").agg(avg.alias("average_distance_km"))
              .orderBy("customer_id"))
 
 
 def b04_distance_per_customer_intended(t: DeliveryTables) -> DataFrame:
     """Mean kilometres per delivered order (each order once) for each customer."""
     orders = t.customer_orders.select("order_id", "customer_id").distinct()
-    j = orders.join(_delivered(t, intended=True).select("order_id", number_from_text("distance").alias("km")),
-                    "order_id")
-    return (j.groupBy("customer_id").agg(F.avg("km").alias("average_distance_km"))
+    j = orders.join(_delivered(t, intended=True).select("order_id", _km_decimal().alias("km")), "order_id")
+    mean = F.sum("km").cast("double") / F.count("km")
+    return (j.groupBy("customer_id").agg(F.when(F.count("km") > 0, mean).alias("average_distance_km"))
              .orderBy("customer_id"))
 
 
