@@ -38,7 +38,7 @@ from tillroll.llm.common import connected_components, forest, id_and_text, mater
 from tillroll.llm.words import ragged, split_words
 
 SHINGLE, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.999
-TREES, DEPTH = 24, 8
+TREES, DEPTH = 24, 7
 #: Sets that are compared with all others to measure recall, and the shingles that one of them may have.
 SAMPLE, SAMPLE_SHINGLES = 256, 20_000
 #: Representatives of one side of a block that is verified at once.
@@ -195,20 +195,21 @@ def forest_links(reps: DataFrame, trees: int, least: int = 1) -> DataFrame:
     return links.filter("b is not null").select("a", "b", "depth").unionByName(more)
 
 
-def depth_counts(reps: DataFrame, threshold: float, trees: int) -> dict[int, int]:
-    """Of all pairs at the threshold between a sample of sets and any other, how many share which longest prefix."""
+def depth_counts(sets: DataFrame, reps: DataFrame, threshold: float, trees: int) -> dict[int, int]:
+    """Of all pairs at the threshold between a sample of representatives and any other row's set, how many share
+    which longest prefix."""
     # First which, by id alone: a task would send its own least rows whole.
-    least = reps.filter(F.col("n_shingles") <= SAMPLE_SHINGLES).select("rid", "fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
-    taken = reps.filter(F.col("rid").isin([r.rid for r in least])).select("rid", "labels", "shingles").collect() if least else []
+    least = reps.filter(F.col("n_shingles") <= SAMPLE_SHINGLES).select("pick", "fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
+    taken = sets.filter(F.col("row").isin([r.pick for r in least])).select("fp", "labels", "shingles").collect() if least else []
     if not taken:
         return {}
-    sets = [_unpack(r.shingles) for r in taken]
-    values, which = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    parts = [_unpack(r.shingles) for r in taken]
+    values, which = np.unique(np.concatenate(parts), return_inverse=True)
+    owner = np.repeat(np.arange(len(parts)), [len(s) for s in parts])
     order = np.argsort(which, kind="stable")
     first = np.searchsorted(which[order], np.arange(len(values) + 1))
     held = reps.sparkSession.sparkContext.broadcast((
-        values, first, owner[order], np.array([len(s) for s in sets]), np.array([r.rid for r in taken]),
+        values, first, owner[order], np.array([len(s) for s in parts]), np.array([r.fp for r in taken]),
         np.array([np.frombuffer(r.labels, ">u2").reshape(trees, DEPTH) for r in taken])))
     schema = pa.schema([("depth", pa.int32()), ("n", pa.int64())])
 
@@ -216,18 +217,18 @@ def depth_counts(reps: DataFrame, threshold: float, trees: int) -> dict[int, int
         values, first, owner, size, own, labels = held.value
         total = np.zeros(DEPTH + 1, np.int64)
         for b in batches:
-            for raw, mine, rid in zip(*(b.column(c).to_pylist() for c in ("shingles", "labels", "rid"))):
+            for raw, mine, fp in zip(*(b.column(c).to_pylist() for c in ("shingles", "labels", "fp"))):
                 x = _unpack(raw)
                 at = np.minimum(np.searchsorted(values, x), len(values) - 1)
                 at = at[values[at] == x]
                 both = np.bincount(owner[ragged(first[at], first[at + 1] - first[at])], minlength=len(size))
-                hit = np.flatnonzero((both > 0) & (both >= threshold * (size + len(x) - both) - 1e-6) & (own != rid))
+                hit = np.flatnonzero((both > 0) & (both >= threshold * (size + len(x) - both) - 1e-6) & (own != fp))
                 if len(hit):
                     deep = shared_prefix(labels[hit], np.frombuffer(mine, ">u2").reshape(1, *labels.shape[1:])).max(1)
                     total += np.bincount(deep, minlength=DEPTH + 1)
         yield table_batch({"depth": np.arange(DEPTH + 1, dtype=np.int32), "n": total}, schema)
 
-    got = reps.select("rid", "labels", "shingles").mapInArrow(step, "depth int, n bigint").groupBy("depth").agg(F.sum("n")).collect()
+    got = sets.filter("fp is not null").select("fp", "labels", "shingles").mapInArrow(step, "depth int, n bigint").groupBy("depth").agg(F.sum("n")).collect()
     held.destroy()
     return {d: n for d, n in got if n}
 
@@ -293,12 +294,13 @@ def _verify(threshold: float):
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, trees: int = TREES) -> DataFrame:
     """Per row: doc_id, digest (of the text), n_links, class_id, and component, which names its class (null: its own)."""
-    sets = materialise(id_and_text(docs).mapInArrow(_sets(trees), SETS_SQL), "jaccard-sets")
+    sets = id_and_text(docs).mapInArrow(_sets(trees), SETS_SQL).withColumn("row", F.monotonically_increasing_id())
+    sets = materialise(sets, "jaccard-sets")
     reps = materialise(sets.filter("fp is not null").groupBy("fp").agg(
         F.min("doc_id").alias("min_id"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels"),
-        F.first("n_shingles").alias("n_shingles"), F.first("shingles").alias("shingles"))
+        F.first("n_shingles").alias("n_shingles"), F.min("row").alias("pick"))
         .withColumn("rid", F.monotonically_increasing_id()), "jaccard-reps")
-    depth = adapted_depth(depth_counts(reps, threshold, trees), prefix_depth(threshold, target_recall, trees))
+    depth = adapted_depth(depth_counts(sets, reps, threshold, trees), prefix_depth(threshold, target_recall, trees))
     members = materialise(connected_components(forest_links(reps, trees, depth)).withColumnRenamed("node", "rid"), "jaccard-candidates")
 
     # Small components share a bin of bounded size; large ones are dealt as pairs of chunks.
@@ -310,7 +312,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, target_recall: float
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))) \
         .withColumn("ci", F.least("chunk", "other")).withColumn("cj", F.greatest("chunk", "other")) \
         .withColumn("bin", F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("component"), F.lit(total // BLOCK + 1))).otherwise(-1 - F.col("component")))
-    verified = materialise(dealt.select("rid", "component", "chunk", "bin", "ci", "cj").join(reps.select("rid", "copies", "shingles"), "rid")
+    # Shingles stay with one row of each representative.
+    held = members.select("rid").join(reps.select("rid", "copies", "pick"), "rid").join(
+        sets.select(F.col("row").alias("pick"), "shingles"), "pick").drop("pick")
+    verified = materialise(dealt.select("rid", "component", "chunk", "bin", "ci", "cj").join(held, "rid")
                            .groupBy("bin", "ci", "cj").applyInPandas(_verify(threshold), "a bigint, b bigint, links bigint"), "jaccard-links")
 
     links = verified.filter("b is null").groupBy(F.col("a").alias("rid")).agg(F.sum("links").alias("links"))
