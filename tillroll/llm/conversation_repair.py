@@ -266,19 +266,16 @@ def by_conversation(batches: Iterable[pa.RecordBatch]) -> Iterator[Iterator[dict
 
 
 def decide(cut: DataFrame) -> DataFrame:
-    """For each block the state before it and its part of the audit; for each conversation its cost,
-    and the illegal neighbours on both sides of a cut, at its first block."""
+    """For each block that isn't alone the state before it and its part of the audit; for each of their
+    conversations its cost, and the illegal neighbours on both sides of a cut, at its first block."""
     schema = pa.schema([("part", pa.int64()), ("seq", pa.int64()), ("state", pa.int64()), ("audit", pa.string()),
                         ("cost", pa.int64()), ("across", pa.int64())])
 
     def decided(batches):
         for group in by_conversation(batches):
             rows = list(group)
-            if rows[0]["alone"]:
-                cost, path, across = rows[0]["costs"][0], [(0, rows[0]["audits"][0])], 0
-            else:
-                cost, path = join_blocks([list(zip(r["before"], r["after"], r["costs"], r["audits"])) for r in rows])
-                across = sum(a["last"] + b["first"] not in LEGAL for a, b in zip(rows, rows[1:]))
+            cost, path = join_blocks([list(zip(r["before"], r["after"], r["costs"], r["audits"])) for r in rows])
+            across = sum(a["last"] + b["first"] not in LEGAL for a, b in zip(rows, rows[1:]))
             for k, (r, (state, audit)) in enumerate(zip(rows, path)):
                 yield {"part": r["part"], "seq": r["seq"], "state": state, "audit": audit,
                        "cost": cost if not k else 0, "across": across if not k else 0}
@@ -286,7 +283,7 @@ def decide(cut: DataFrame) -> DataFrame:
     def step(batches):
         yield from flush_at(decided(batches), schema, BLOCK_BYTES, lambda r: len(r["audit"]) + 50)
 
-    narrow = cut.select("conv_id", "part", "seq", "alone", "before", "after", "costs", "audits",
+    narrow = cut.filter("not alone").select("conv_id", "part", "seq", "before", "after", "costs", "audits",
                         F.element_at("initials", 1).alias("first"), F.element_at("initials", -1).alias("last"))
     return materialise(sorted_blocks(narrow).mapInArrow(
         step, "part bigint, seq bigint, state bigint, audit string, cost bigint, across bigint"), "conversation-audits")
@@ -297,10 +294,14 @@ def sorted_blocks(cut: DataFrame) -> DataFrame:
         F.col("conv_id").asc_nulls_first(), "part", "seq")
 
 
-def read_in_order(cut: DataFrame, audits: DataFrame) -> DataFrame:
-    """Blocks with their decisions, the blocks of a conversation in order in one task, to be streamed."""
-    return sorted_blocks(cut.select("conv_id", "part", "seq", "initials", "faults", "copies", "roles", "texts").join(
-        audits.select("part", "seq", "state", "audit"), ["part", "seq"]))
+def read_in_order(cut: DataFrame, audits: DataFrame, read, schema: str) -> DataFrame:
+    """``read`` over blocks with their decisions, the blocks of a conversation in order. A block that is
+    alone is read where it lies; only the others' texts are shuffled once more."""
+    cut = cut.withColumn("state", F.lit(0).cast("long")).withColumn("audit", F.element_at("audits", 1))
+    columns = ["conv_id", "part", "seq", "initials", "faults", "copies", "roles", "texts", "state", "audit"]
+    rest = cut.filter("not alone").drop("state", "audit").join(audits.select("part", "seq", "state", "audit"), ["part", "seq"])
+    return cut.filter("alone").select(*columns).mapInArrow(read, schema).union(
+        sorted_blocks(rest.select(*columns)).mapInArrow(read, schema))
 
 
 def turns_of(row: dict) -> Iterator[tuple[str, str]]:
@@ -339,7 +340,7 @@ class Repair:
         def step(batches):
             yield from flush_at(each(batches), schema, BLOCK_BYTES, lambda r: len(r["text"]) + 30)
 
-        return read_in_order(self.blocks, self.audits).mapInArrow(step, "conv_id bigint, position bigint, role string, text string")
+        return read_in_order(self.blocks, self.audits, step, "conv_id bigint, position bigint, role string, text string")
 
     def digests(self) -> DataFrame:
         """conv_id, audit, repaired_sha256 of ``role:text`` lines. The digest is fed line by line: by its
@@ -360,7 +361,7 @@ class Repair:
         def step(batches):
             yield from flush_at(each(batches), schema, BLOCK_BYTES, lambda r: len(r["audit"]) + 80)
 
-        return read_in_order(self.blocks, self.audits).mapInArrow(step, "conv_id bigint, audit string, repaired_sha256 string")
+        return read_in_order(self.blocks, self.audits, step, "conv_id bigint, audit string, repaired_sha256 string")
 
     def report(self, ids: DataFrame) -> DataFrame:
         """One row for each conv_id of ``ids``: gaps, the faults, illegal neighbours, cost, audit and digest."""
@@ -374,10 +375,11 @@ class Repair:
         inner = F.size(F.filter(pairs, lambda p: ~F.array_contains(legal, p))) + F.aggregate("copies", F.lit(0).cast("long"), lambda s, n: s + n - 1)
         of = lambda fault: F.sum(F.aggregate(F.filter(F.arrays_zip(
             F.split("faults", "").alias("f"), F.col("copies").alias("n")), lambda e: e["f"] == fault), F.lit(0).cast("long"), lambda s, e: s + e["n"]))
-        counted = self.blocks.select("conv_id", "part", "seq", "initials", "faults", "copies").join(
-            self.audits.select("part", "seq", "cost", "across"), ["part", "seq"]).groupBy("conv_id").agg(
+        own_cost = F.when(F.col("alone"), F.element_at("costs", 1)).otherwise(F.coalesce("cost", F.lit(0)))
+        counted = self.blocks.select("conv_id", "part", "seq", "alone", "initials", "faults", "copies", "costs").join(
+            self.audits.select("part", "seq", "cost", "across"), ["part", "seq"], "left").groupBy("conv_id").agg(
             of("b").alias("blank"), of("d").alias("duplicate"), of("t").alias("truncated"),
-            F.sum(inner + F.col("across")).alias("illegal"), F.sum("cost").alias("cost"))
+            F.sum(inner + F.coalesce("across", F.lit(0))).alias("illegal"), F.sum(own_cost).alias("cost"))
         out = ids.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
         for other in (turns, counted, self.digests()):
             out = out.join(other.withColumnRenamed("conv_id", "own"), F.col("conv_id").eqNullSafe(F.col("own")), "left").drop("own")
