@@ -179,21 +179,22 @@ class Automaton:
         return words.counts, out
 
 
-def automata(items: DataFrame, window: int = WINDOW, limit: int = AUTOMATON_CHARS) -> Iterator[Automaton]:
-    """One automaton for each part of the items of about ``limit`` characters, by their measured size;
-    each is read and built when it is asked for."""
+def automata(items: DataFrame, window: int = WINDOW, limit: int = AUTOMATON_CHARS) -> Iterator[tuple[Automaton, bool]]:
+    """(automaton, whether it is the last) for each part of the items of about ``limit`` characters, by their
+    measured size; each is read and built when it is asked for."""
     items = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, -(-total // limit))
     cell = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    return (Automaton([(r[0], r[1]) for r in items.filter(cell == k).collect()], window) for k in range(parts))
+    return ((Automaton([(r[0], r[1]) for r in items.filter(cell == k).collect()], window), k + 1 == parts) for k in range(parts))
 
 
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
-def find(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = AUTOMATON_CHARS) -> DataFrame:
-    """The rows of ``docs`` with n_words, spans (of hit words, merged) and item_ids.
+def find(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = AUTOMATON_CHARS, then=None) -> DataFrame:
+    """The rows of ``docs`` with n_words, spans (of hit words, merged) and item_ids. ``then``: a function of
+    these rows' batches and the schema that it gives, run in the same tasks.
 
     Each part of a large item table is one more pass, which adds to both."""
     base = [f for f in docs.schema.fields if f.name not in ("n_words", "spans", "item_ids")]
@@ -204,7 +205,7 @@ def find(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = A
     spark = docs.sparkSession
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     parts, held = automata(items, window, limit), None
-    for automaton in parts:
+    for automaton, last in parts:
         first = held is None
         if not first:  # the pass before ends, and its part goes
             docs = materialise(docs, "decontaminate")
@@ -232,6 +233,8 @@ def find(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = A
                 rows = rows.append_column("spans", pa.array([[{"start": b, "end": e} for b, e in s] for s in spans], span_type))
                 yield rows.append_column("item_ids", pa.array(ids, pa.list_(pa.string())))
 
+        if last and then:
+            return docs.mapInArrow(lambda batches, step=step: then[0](step(batches)), then[1])
         docs = docs.mapInArrow(step, schema)
     return docs
 
@@ -252,7 +255,6 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage_limi
     names = [c if c in ("doc_id", "text") else f"__c{k}" for k, c in enumerate(docs.columns)]
     chars = names[docs.columns.index("n_chars")] if "n_chars" in docs.columns else None
     work = docs.toDF(*names)
-    found = find(work, items, window)
 
     def cut(batches):
         for rows, texts in row_chunks(batches):
@@ -274,4 +276,4 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage_limi
                 rows = rows.filter(pa.array(keep))
             yield rows.select(names)
 
-    return found.mapInArrow(cut, work.schema).toDF(*docs.columns)
+    return find(work, items, window, then=(cut, work.schema)).toDF(*docs.columns)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import connected_components, forest, id_and_text, materialise, row_chunks, sql_partitions, table_batch
+from tillroll.llm.common import connected_components, forest, id_and_text, materialise, release_memory, row_chunks, sql_partitions, table_batch
 from tillroll.llm.words import ragged, split_words
 
 SHINGLE, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.999
@@ -227,6 +227,7 @@ def depth_counts(sets: DataFrame, reps: DataFrame, threshold: float, trees: int)
                     deep = shared_prefix(labels[hit], np.frombuffer(mine, ">u2").reshape(1, *labels.shape[1:])).max(1)
                     total += np.bincount(deep, minlength=DEPTH + 1)
         yield table_batch({"depth": np.arange(DEPTH + 1, dtype=np.int32), "n": total}, schema)
+        release_memory()
 
     got = sets.filter("fp is not null").select("fp", "labels", "shingles").mapInArrow(step, "depth int, n bigint").groupBy("depth").agg(F.sum("n")).collect()
     held.destroy()
@@ -286,6 +287,8 @@ def _verify(threshold: float):
             np.add.at(links, i + y, copies[i + x])
             edges += [(rid[i + x[k]], rid[i + y[k]]) for k in forest(j - i, x, y)]
         some = np.flatnonzero(links)
+        del pdf, packed
+        release_memory()
         return pd.DataFrame({"a": np.concatenate([rid[some], [e[0] for e in edges]]).astype(np.int64),
                              "b": pd.array([*[None] * len(some), *(int(e[1]) for e in edges)], "Int64"),
                              "links": np.concatenate([links[some], np.zeros(len(edges))]).astype(np.int64)})
