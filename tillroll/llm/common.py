@@ -31,6 +31,8 @@ def scratch_root(spark: SparkSession) -> str:
 #: many steps would be most of its memory.
 SHORT_PLANS = {"spark.sql.ui.explainMode": "simple", "spark.sql.maxPlanStringLength": "2000"}
 
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
 
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
@@ -146,9 +148,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         """The distinct edges as written, and their count and digest, observed while they are."""
         seen = Observation()
         digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        out = materialise(e.distinct().observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "cc")
+        with settings(spark, NO_BROADCAST):  # every round would leave one or more of them in the driver
+            out = materialise(e.distinct().observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "cc")
         return out, (seen.get["n"], seen.get["digest"])
 
+    spark = edges.sparkSession
     cur = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u <> v")
     cur, before = written(cur.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     for _ in range(max_rounds):
