@@ -100,3 +100,22 @@ def test_items_are_scanned_once(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_lists_as_written_are_labelled_after_grouping(spark):
+    """What is sorted and grouped by (order, name) are places in the dictionary; labels are made of the finished groups."""
+    t, *_ = tables(spark, 1)
+    plan = P.c05_ingredient_lists(t)._jdf.queryExecution().optimizedPlan().toString()
+    labelled, below = plan.split("collect_list(", 1)
+    assert "2x" in labelled and "2x" not in below.split("\n", 1)[1], plan
+
+
+def test_places_in_the_dictionary(spark):
+    toppings = spark.createDataFrame([*TOPPINGS, (7, "Ham"), (8, None), (9, "Ham")], "topping_id int, topping_name string")
+    recipes = spark.createDataFrame([(1, "7, 9, 4"), (1, "8"), (2, "99"), (None, "1")], "pizza_id int, toppings string")
+    d = lists.topping_dictionary(toppings)
+    entries = lists.recipe_arrays(recipes, d)
+    got = entries.withColumnRenamed("recipe", "full").join(lists.recipe_positions(entries, d), "pizza_id").withColumn("d", d)
+    rows = got.collect()
+    assert {r.pizza_id: len(r.full) for r in rows} == {1: 5, 2: 0}
+    assert all([r.d[i] for i in r.recipe] == r.full for r in rows)

@@ -11,7 +11,7 @@ from tillroll.operators.membership import attach_membership, attach_membership_a
 from tillroll.operators.antijoin import not_in  # noqa: F401
 from tillroll.operators.lists import (  # noqa: F401
     explode_tokens, token_frequency, recipe_entries, variant_quantities, labelled_tokens,
-    topping_dictionary, recipe_arrays, net_quantities, quantity_list,
+    topping_dictionary, recipe_arrays, recipe_positions, net_quantities, quantity_list,
 )
 from tillroll.operators.pivot import pivot_counts  # noqa: F401
 from tillroll.operators.joins import null_safe_join  # noqa: F401

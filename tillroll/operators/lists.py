@@ -148,6 +148,13 @@ def recipe_arrays(recipes: DataFrame, dictionary: Column, key: str = "pizza_id",
     return rows.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("__e"))).alias(out))
 
 
+def recipe_positions(recipes: DataFrame, dictionary: Column, out: str = "recipe") -> DataFrame:
+    """:func:`recipe_arrays` with each entry as its place in the dictionary (from 0), for plans that sort
+    or group many rows with their recipes. Equal entries share a place."""
+    place = F.transform(out, lambda e: F.array_position(F.col("__d"), e).cast("int") - 1)
+    return recipes.withColumn("__d", dictionary).withColumn(out, place).drop("__d")
+
+
 def net_quantities(dictionary: Column, recipe: Column, removes: Column, adds: Column) -> Column:
     """``array<struct<k1, qty>>`` of what is left of a recipe: [in recipe] - [in removes] + occurrences in
     adds, entries above zero, in the dictionary's order. ``recipe`` holds entries, the others ids."""

@@ -33,7 +33,7 @@ from tillroll.functions.text import (
     as_col, binary_text, double_from_digits, has_value, int_from_digits, null_token, number_from_text, text_eq, text_ne, text_not_in,
 )
 from tillroll.operators import (
-    daily_sketches, distinct_estimate, labelled_tokens, net_quantities, not_in, null_safe_join, pivot_counts, quantity_list, recipe_arrays, recipe_entries,
+    daily_sketches, distinct_estimate, labelled_tokens, net_quantities, not_in, null_safe_join, pivot_counts, quantity_list, recipe_arrays, recipe_entries, recipe_positions,
     string_agg, token_frequency, top_n_with_ties, topping_dictionary, variant_quantities,
 )
 from tillroll.operators.distinct import near
@@ -354,10 +354,13 @@ def c05_ingredient_lists(t: DeliveryTables) -> DataFrame:
     Built from bounded pieces instead of exploding item x ingredient rows:
     items are counted once per (order, pizza, extras text); each pizza's recipe is one sorted
     array (recipe-sized); each order's extras are one map topping -> rows
-    (at most one entry per topping). A row-wise ``transform`` then yields
-    ``(label, repeats)`` per ingredient, and the final group per (order, name)
-    only merges the rows of pizzas sharing that name. Both reads of the counts
-    keep all their columns, so the items are scanned and shuffled once.
+    (at most one entry per topping). The final group per (order, name) only
+    merges the rows of pizzas sharing that name. It is sorted once for the
+    extras and twice for the group, so its rows hold no text but the name: the
+    recipe as positions in the dictionary, and how often each was asked for.
+    ``(label, repeats)`` per ingredient are made where the finished list is.
+    Both reads of the counts keep all their columns, so the items are scanned
+    and shuffled once.
     """
     counts = t.customer_orders.groupBy("order_id", "pizza_id", "extras").agg(F.count(F.lit(1)).alias("n"))
     items = counts.groupBy("order_id", "pizza_id").agg(F.sum("n").alias("n_items"))
@@ -375,7 +378,7 @@ def c05_ingredient_lists(t: DeliveryTables) -> DataFrame:
                                               lambda acc, p: acc + p["n"]))).alias("xmap"))
     dictionary = topping_dictionary(t.pizza_toppings)
     if dictionary is not None:
-        recipe = recipe_arrays(t.pizza_recipes, dictionary)
+        recipe = recipe_positions(recipe_arrays(t.pizza_recipes, dictionary), dictionary)
     else:
         ent = recipe_entries(t.pizza_recipes, t.pizza_toppings)
         recipe = ent.groupBy("pizza_id").agg(F.collect_list(F.struct(
@@ -386,17 +389,24 @@ def c05_ingredient_lists(t: DeliveryTables) -> DataFrame:
     # NULL-safe only so that no IS NOT NULL reaches one scan of the items and not the other.
     j = null_safe_join(items, menu.filter("pizza_id is not null"), ["pizza_id"]).join(extras, "order_id", "left")
 
-    def entry(x):
-        e = F.try_element_at(F.col("xmap"), x["id"])
+    def with_dictionary(df: DataFrame) -> DataFrame:
+        return df if dictionary is None else df.withColumn("__d", dictionary)
+
+    def known(x: Column) -> Column:
+        return x if dictionary is None else F.get(F.col("__d"), x)
+
+    def entry(x, n_items, e):
         label = F.when(e.isNotNull(), F.concat(F.lit("2x"), x["k1"])).otherwise(x["k1"])
         return F.struct(x["k0"].alias("k0"), x["k1"].alias("k1"), label.alias("label"),
-                        (F.col("n_items") * F.coalesce(e, F.lit(1))).alias("n"))
-
-    per_row = j.select("order_id", "pizza_name", F.transform("recipe", entry).alias("entries"))
-    merged = F.array_sort(F.flatten(F.collect_list("entries")))
-    return (per_row.groupBy("order_id", "pizza_name")
-            .agg(F.concat(F.col("pizza_name"), F.lit(": "), repeat_join(merged)).alias("ingredient_list"))
-            .select("order_id", "ingredient_list")
+                        (n_items * F.coalesce(e, F.lit(1))).alias("n"))
+
+    times = F.when(F.col("xmap").isNotNull(), F.transform("recipe", lambda x: F.try_element_at(F.col("xmap"), known(x)["id"])))
+    per_row = with_dictionary(j).select("order_id", "pizza_name", F.struct("n_items", "recipe", times.alias("times")).alias("__row"))
+    groups = per_row.groupBy("order_id", "pizza_name").agg(F.collect_list("__row").alias("__rows"))
+    merged = F.array_sort(F.flatten(F.transform("__rows", lambda g: F.transform(
+        g["recipe"], lambda x, i: entry(known(x), g["n_items"], F.get(g["times"], i))))))
+    return (with_dictionary(groups)
+            .select("order_id", F.concat(F.col("pizza_name"), F.lit(": "), repeat_join(merged)).alias("ingredient_list"))
             .orderBy("order_id", "ingredient_list"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,7 +26,11 @@ PLAN_SETTINGS = {
     # (items -> orders -> runner rows), which AQE only splits for a hot key if
     # it may add a shuffle after the split; one order may hold a third of the rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # What a task reads of a shuffle, compressed. Item rows are narrow and
+    # compress to a few bytes, and one stage may hold a join, aggregates and
+    # another join of them: at 64 MB a task, its sorts and maps took 0.9 to
+    # 4 GB of memory. Merged partitions stay below this size.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     # Broadcast only sides that are small by measurement: 10 MB from plan
     # statistics (Spark's default), 4 MB for AQE's runtime conversion. A
     # broadcast is shipped to every executor, so on a 1000-executor cluster
@@ -38,6 +43,18 @@ PLAN_SETTINGS = {
 }
 
 
+def _bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit or " ")
+
+
+def bound_task_reads(spark: SparkSession) -> None:
+    """Lower the size to which a running session merges shuffle partitions to this package's; a smaller one stays."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if _bytes(spark.conf.get(key)) > _bytes(PLAN_SETTINGS[key]):
+        spark.conf.set(key, PLAN_SETTINGS[key])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a scratch one only if none is set.
 
