@@ -1,5 +1,7 @@
 """Retail queries merge shuffle partitions to at most what a task may read, whatever the session's own size."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -36,3 +38,30 @@ def test_queries_bound_their_reads(spark, advised, tmp_path, key):
     advised("64m")
     assert entry.queries()[key](spark, str(tmp_path)).count() == 1
     assert _bytes(spark.conf.get(KEY)) <= 8 << 20
+
+
+@pytest.fixture(scope="module")
+def one_customer(spark, tmp_path_factory):
+    """Order 1 holds items of every kind, order 2 is pending, order 3 has no pizza of the menu."""
+    make, at = spark.createDataFrame, tmp_path_factory.mktemp("rows")
+    tables = {
+        "orders": make([(1, 5, "O"), (2, 5, "P"), (3, 5, "O")], "o_orderkey long, o_custkey long, o_orderstatus string").selectExpr(
+            "*", "timestamp_ntz'2021-01-01' as o_orderdate"),
+        "lineitem": make([(1, 4, 4), (1, 4, 3), (1, 4, 2), (1, 5, 4), (1, 6, 4), (2, 4, 4), (2, 4, 2), (3, 6, 4)],
+                         "l_orderkey long, l_partkey long, l_linenumber int"),
+        "part": make([(4, "ring", "LARGE"), (5, "disc", "MEDIUM")], "p_partkey long, p_name string, p_type string")}
+    for name, df in tables.items():
+        df.write.parquet(f"{at}/{name}.parquet")
+    return str(at)
+
+
+def grouped_by(df) -> list[str]:
+    """The keys of each aggregate, as the optimised plan names them."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"Aggregate \[(.*?)\], \[", plan)]
+
+
+def test_profit_holds_no_map_of_items(spark, one_customer):
+    df = entry.queries()["D05_intended"](spark, one_customer)
+    assert sorted(grouped_by(df)) == ["order_id", "pizza_id"]  # orders and the menu; (order, pizza) pairs would hold every item
+    assert [tuple(r) for r in df.collect()] == [(44.08,)]  # 3 x 12 + 10 less 0.3 x 6.4 km
