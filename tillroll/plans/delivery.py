@@ -139,6 +139,16 @@ def a06b_largest_orders_with_ties(t: DeliveryTables) -> DataFrame:
     return top_n_with_ties(_delivered_counts_per_order(t), "total_pizzas_delivered", 1).orderBy("order_id")
 
 
+def _changes_per_customer(t: DeliveryTables, changed: Column, unchanged: Column, ro: DataFrame) -> DataFrame:
+    """Items of both kinds per customer. They are counted side by side, one row per order and customer: a row per
+    kind would be more groups in the aggregates and the sort of that stage."""
+    items = (t.customer_orders.groupBy("order_id", "customer_id")
+             .agg(F.count_if(changed).alias("c"), F.count_if(unchanged).alias("u")))
+    return (items.join(ro, "order_id").groupBy("customer_id")
+                 .agg(F.sum("c").alias("pizzas_with_changes"), F.sum("u").alias("pizzas_without_changes"))
+                 .orderBy("customer_id"))
+
+
 def a07_changes_per_customer(t: DeliveryTables) -> DataFrame:
     """As written: ``''`` counts as a change and the pickup filter keeps cancelled orders."""
     ex, xt = F.col("exclusions"), F.col("extras")
@@ -159,13 +169,7 @@ def a07_changes_per_customer(t: DeliveryTables) -> DataFrame:
 def a07_changes_per_customer_intended(t: DeliveryTables) -> DataFrame:
     """Delivered items only; a change is a real exclusion or extra."""
     changed = has_value("exclusions") | has_value("extras")
-    items = (t.customer_orders.groupBy("order_id", "customer_id", changed.alias("c"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    return (items.join(_delivered(t, intended=True).select("order_id"), "order_id")
-                 .groupBy("customer_id")
-                 .agg(F.sum(F.when(F.col("c"), F.col("n")).otherwise(0)).alias("pizzas_with_changes"),
-                      F.sum(F.when(~F.col("c"), F.col("n")).otherwise(0)).alias("pizzas_without_changes"))
-                 .orderBy("customer_id"))
+    return _changes_per_customer(t, changed, ~changed, _delivered(t, intended=True).select("order_id"))
 
 
 def a08_exclusions_and_extras(t: DeliveryTables) -> DataFrame:
