@@ -154,16 +154,9 @@ def a07_changes_per_customer(t: DeliveryTables) -> DataFrame:
     ex, xt = F.col("exclusions"), F.col("extras")
     changed = (ex.isNotNull() & text_ne(F.trim(ex), "null")) | (xt.isNotNull() & text_ne(F.trim(xt), "null"))
     unchanged = ((ex.isNull() | text_eq(F.trim(ex), "null")) & (xt.isNull() | text_eq(F.trim(xt), "null")))
-    items = (t.customer_orders
-             .groupBy("order_id", "customer_id",
-                      F.coalesce(changed, F.lit(False)).alias("c"), F.coalesce(unchanged, F.lit(False)).alias("u"))
-             .agg(F.count(F.lit(1)).alias("n")))
     pu = F.col("pickup_time")
     ro = t.runner_orders.filter(pu.isNotNull() | text_ne(F.trim(pu), "null")).select("order_id")
-    return (items.join(ro, "order_id").groupBy("customer_id")
-                 .agg(F.sum(F.when(F.col("c"), F.col("n")).otherwise(0)).alias("pizzas_with_changes"),
-                      F.sum(F.when(F.col("u"), F.col("n")).otherwise(0)).alias("pizzas_without_changes"))
-                 .orderBy("customer_id"))
+    return _changes_per_customer(t, changed, unchanged, ro)
 
 
 def a07_changes_per_customer_intended(t: DeliveryTables) -> DataFrame:
